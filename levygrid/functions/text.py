@@ -25,14 +25,9 @@ def cell(cells: Column, index: int | None) -> Column:
     return ws(F.coalesce(F.get(cells, F.lit(index)), F.lit("")))
 
 
-def same_text(c: Column, wanted: str) -> Column:
-    """Case-insensitive equality after stripping."""
-    return F.upper(ws(c)) == F.upper(F.lit(wanted))
-
-
 def row_description(cells: Column, first: int = 2, last: int = 9) -> Column:
     """Cells C to J, stripped and run together without a separator."""
-    return ws(F.concat(*[cell(cells, i) for i in range(first, last + 1)]))
+    return F.concat(*[cell(cells, i) for i in range(first, last + 1)])
 
 
 def jurisdiction_name(file_name: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from levygrid import constants as C
 from levygrid.config import MatrixConfig
 from levygrid.functions.ids import is_state_geocode, normalize_research_id, pad_item_code
-from levygrid.operators.lookup import Dimension, measure
+from levygrid.operators.lookup import Dimension
 
 
 def state_geocodes(geo: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def locations(names: DataFrame, states: DataFrame, cities: DataFrame) -> DataFra
 
 @dataclass
 class Dimensions:
-    """The look-ups of one run. Sizes are measured in one job on first use."""
+    """The look-ups of one run; one that no join uses is never computed."""
 
     locations: Dimension
     tax_cats: Dimension
@@ -135,7 +135,3 @@ class Dimensions:
             tax_types=dim(tax_types(tax_type), "geo_key", "cat_key"),
             product_codes=dim(product_codes(codes), "research_key"),
         )
-
-    def measure(self) -> "Dimensions":
-        measure(self.locations, self.tax_cats, self.tax_types, self.product_codes)
-        return self

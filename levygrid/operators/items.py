@@ -11,8 +11,8 @@ from levygrid.functions.text import ws
 from levygrid.operators.codes import with_item_codes
 from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.lookup import Dimension, lookup_join
-from levygrid.operators.numbering import durable
 from levygrid.operators.rows import certain_only, tagged_same_case, with_jurisdiction
+from levygrid.operators.stages import durable
 
 KEY = ["file_idx", "item"]
 
@@ -57,7 +57,7 @@ def hierarchical(ids: DataFrame, texts: DataFrame, config: MatrixConfig) -> Data
     of a file are asked for by all ids below them; the look-up join spreads them.
     """
     lookup = Dimension(
-        durable(texts.select(F.col("file_idx").alias("f"), F.col("item").alias("i"), "own_text")),
+        texts.select(F.col("file_idx").alias("f"), F.col("item").alias("i"), "own_text"),
         ["f", "i"], config.broadcast_bytes, config.salts,
     )
     carried = [c for c in ids.columns if c not in KEY]

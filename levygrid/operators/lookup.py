@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from levygrid.operators.stages import durable
+
 _PER_VALUE_BYTES = 16  # allowance per value on top of its text
 
 
@@ -16,43 +20,30 @@ def text_bytes(df: DataFrame) -> DataFrame:
 
 
 class Dimension:
-    """A look-up table together with its measured size.
+    """A look-up table that several joins use.
 
-    The size is measured once, when the first join needs it; several dimensions can
-    be measured in one job with ``measure``.
+    It is computed and written once, when the first join needs it, and measured then.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], broadcast_bytes: int, salts: int):
-        self.df = df
+        self.plan = df
         self.keys = keys
         self.broadcast_bytes = broadcast_bytes
         self.salts = salts
-        self._bytes: int | None = None
 
-    @property
+    @cached_property
+    def df(self) -> DataFrame:
+        return durable(self.plan)
+
+    @cached_property
     def bytes(self) -> int:
-        if self._bytes is None:
-            measure(self)
-        return self._bytes
+        return text_bytes(self.df).first()["bytes"]
 
     @property
     def small(self) -> bool:
         return self.bytes <= self.broadcast_bytes
 
 
-def measure(*dims: Dimension) -> None:
-    """Measure all given dimensions with a single job."""
-    pending = [d for d in dims if d._bytes is None]
-    if not pending:
-        return
-    sizes = None
-    for i, d in enumerate(pending):
-        one = text_bytes(d.df).select(F.lit(i).alias("i"), "bytes")
-        sizes = one if sizes is None else sizes.unionByName(one)
-    for row in sizes.collect():  # one row per dimension
-        pending[row["i"]]._bytes = row["bytes"]
-
-
 def lookup_join(
     facts: DataFrame,
     dim: Dimension,

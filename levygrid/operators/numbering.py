@@ -2,28 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a private one only in local mode."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="levygrid-checkpoint-")
-    sc.setCheckpointDir(folder)
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """Write a stage that several outputs reuse; it survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from levygrid.operators.stages import durable
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:

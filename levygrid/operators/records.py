@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from levygrid import constants as C
 from levygrid.config import LOGICAL_COLUMNS, MatrixConfig
-from levygrid.functions.text import ws
 from levygrid.functions.treatment import (
     format_percent,
     is_unknown_status,
@@ -109,8 +108,8 @@ def templates(rows: DataFrame, dims: Dimensions, config: MatrixConfig) -> DataFr
 
 def type_keys() -> dict[str, Column]:
     return {
-        "geo_key": F.upper(ws(F.col("geocode"))),
-        "cat_key": F.upper(ws(F.col("tax_cat"))),
+        "geo_key": F.upper("geocode"),
+        "cat_key": F.upper("tax_cat"),
     }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from levygrid.config import LOGICAL_COLUMNS, MatrixConfig
-from levygrid.functions.text import cell, jurisdiction_name, row_description, same_text, ws
+from levygrid.functions.text import cell, jurisdiction_name, row_description
 from levygrid.functions.treatment import is_uncertain
 
 
@@ -27,11 +27,11 @@ def named_rows(sheet_rows: DataFrame, header: dict[str, int | None]) -> DataFram
 
 def tagged_any_case(rows: DataFrame, config: MatrixConfig) -> DataFrame:
     """Rows carrying the admin tag in any case (the matrix path)."""
-    return rows.where(same_text(F.col("admin"), config.admin_filter_value))
+    return rows.where(F.upper("admin") == F.upper(F.lit(config.admin_filter_value)))
 
 
 def is_tagged(config: MatrixConfig) -> Column:
-    return ws(F.col("admin")) == config.admin_filter_value
+    return F.col("admin") == config.admin_filter_value
 
 
 def tagged_same_case(rows: DataFrame, config: MatrixConfig) -> DataFrame:

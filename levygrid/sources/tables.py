@@ -13,6 +13,7 @@ from levygrid.config import MatrixConfig
 from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.numbering import number_rows
 from levygrid.operators.rows import named_rows
+from levygrid.operators.stages import widened
 
 # Columns of the derived sheets by logical name.
 HEADER = {
@@ -154,7 +155,7 @@ def _pick(values: list[str], index: Column) -> Column:
 def sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
     """One positional sheet row per line item: ``file_idx, file_name, ordinal, cells``."""
     lines = (
-        table(spark, folder, "lineitem")
+        widened(table(spark, folder, "lineitem").select(*ROW_ORDER))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
@@ -235,23 +236,27 @@ def header_cells() -> Column:
     )
 
 
-def numbered_sheets(spark: SparkSession, folder: str, config: MatrixConfig) -> DataFrame:
-    """Whole sheets with dense row numbers: title rows, the header row, the data rows."""
-    rows = sheet_rows(spark, folder)
-    data = number_rows(rows, ["file_idx"], [F.col("ordinal")], "row_idx").select(
-        "file_idx", "file_name", (F.col("row_idx") + config.header_row).alias("row_idx"), "cells"
-    )
-    files = rows.select("file_idx", "file_name").distinct()
-    top = files.select(
+def header_sheets(spark: SparkSession, folder: str, config: MatrixConfig) -> DataFrame:
+    """The rows above the data of every sheet: titles, then the header row."""
+    files = sheet_rows(spark, folder).select("file_idx", "file_name").distinct()
+    return files.select(
         "file_idx", "file_name",
-        F.explode(F.sequence(F.lit(1), F.lit(config.header_row))).cast("bigint").alias("row_idx"),
+        F.explode(F.expr(f"sequence(1L, {config.header_row}L)")).alias("row_idx"),
     ).withColumn(
         "cells",
         F.when(F.col("row_idx") == config.header_row, header_cells()).otherwise(
             F.array(F.concat(F.lit("Title "), F.col("row_idx").cast("string")))
         ),
     )
-    return top.unionByName(data)
+
+
+def numbered_sheets(spark: SparkSession, folder: str, config: MatrixConfig) -> DataFrame:
+    """Whole sheets with dense row numbers: titles, the header row, the data rows."""
+    rows = sheet_rows(spark, folder)
+    data = number_rows(rows, ["file_idx"], [F.col("ordinal")], "row_idx").select(
+        "file_idx", "file_name", (F.col("row_idx") + config.header_row).alias("row_idx"), "cells"
+    )
+    return header_sheets(spark, folder, config).unionByName(data)
 
 
 def rows(spark: SparkSession, folder: str) -> DataFrame:
