@@ -12,7 +12,7 @@ from levygrid.config import MatrixConfig
 from levygrid.functions.ids import parent_geocode
 from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.lookup import lookup_join
-from levygrid.operators.records import templates, unknown_statuses, without_tax_types
+from levygrid.operators.records import unknown_statuses
 from levygrid.operators.rows import with_jurisdiction
 
 
@@ -78,18 +78,15 @@ def unknown_status_errors(
     )
 
 
-def missing_tax_types(rows: DataFrame, dims: Dimensions, config: MatrixConfig) -> DataFrame:
+def missing_tax_types(misses: DataFrame) -> DataFrame:
     """Per file, geocode and category without tax types: record count and first items."""
     key = ["file_idx", "file_name", "geocode", "tax_cat"]
-    misses = without_tax_types(templates(rows, dims, config), dims.tax_types)
     counts = misses.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     samples = first_n(misses, key, ["ordinal", "side_idx"], C.MISSING_TYPE_SAMPLE, "item")
     return counts.join(samples, key)
 
 
-def missing_tax_type_errors(
-    rows: DataFrame, dims: Dimensions, config: MatrixConfig
-) -> DataFrame:
+def missing_tax_type_errors(misses: DataFrame) -> DataFrame:
     n = F.col("n")
     message = F.concat(
         F.lit("No tax types found for geocode='"), F.col("geocode"),
@@ -99,7 +96,7 @@ def missing_tax_type_errors(
         with_rest(F.col("sample"), n, C.MISSING_TYPE_SAMPLE),
     )
     return _error(
-        missing_tax_types(rows, dims, config), C.ERR_NO_TAX_TYPE, F.col("file_name"), message
+        missing_tax_types(misses), C.ERR_NO_TAX_TYPE, F.col("file_name"), message
     )
 
 

@@ -150,11 +150,6 @@ def as_matrix(records: DataFrame, config: MatrixConfig) -> DataFrame:
     return records.select(*order, *C.MATRIX_COLUMNS)
 
 
-def sheet_matrix(rows: DataFrame, dims: Dimensions, config: MatrixConfig) -> DataFrame:
-    """All matrix records of all sheets, before replication and code conversion."""
-    return as_matrix(with_tax_types(templates(rows, dims, config), dims.tax_types), config)
-
-
 def unknown_statuses(rows: DataFrame, dims: Dimensions, config: MatrixConfig) -> DataFrame:
     """Unknown status texts, once per geocode, row and side."""
     tagged = tagged_any_case(rows, config).where(F.col("current_id") != "")

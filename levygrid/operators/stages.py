@@ -3,27 +3,38 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a private one only in local mode."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a private one only in local mode."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="levygrid-checkpoint-")
-    sc.setCheckpointDir(folder)
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="levygrid-checkpoint-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write a stage that several outputs reuse; it survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a stage that several outputs reuse and read it back.
+
+    The table survives the loss of executors and cuts the lineage like a checkpoint; being
+    columnar it also lets every reader skip the columns it does not need.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def widened(df: DataFrame) -> DataFrame:
@@ -37,4 +48,5 @@ def widened(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if parts == 1 or parts >= cores:
         return df
-    return durable(df.repartition(min(cores, 8 * parts), *[F.col(c) for c in df.columns]))
+    spread = df.repartition(min(cores, 8 * parts), *[F.col(c) for c in df.columns])
+    return spread.checkpoint(eager=True)

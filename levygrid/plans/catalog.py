@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +13,7 @@ from levygrid.functions import ids, text, treatment
 from levygrid.operators import codes, dimensions as D, errors, items, records, replicate, report
 from levygrid.operators import rows as row_ops
 from levygrid.operators.lookup import lookup_join
-from levygrid.operators.stages import ensure_checkpoint_dir
+from levygrid.operators.stages import scratch_path
 from levygrid.plans.pipeline import Run
 from levygrid.session import tuned
 from levygrid.sinks import files
@@ -38,9 +37,16 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _run(spark: SparkSession, folder: str, keep: bool = False) -> Run:
-    rows = tables.rows(spark, folder)
-    return Run(rows, tables.dimensions(spark, folder, CONFIG), CONFIG, keep)
+# Look-ups are loaded once per session and folder, on first use.
+_DIMENSIONS: WeakKeyDictionary[SparkSession, dict[str, D.Dimensions]] = WeakKeyDictionary()
+
+
+def _run(spark: SparkSession, folder: str, keep: str = "none") -> Run:
+    """``keep`` where more than one branch of the query reads the same stage."""
+    loaded = _DIMENSIONS.setdefault(spark, {})
+    if folder not in loaded:
+        loaded[folder] = tables.dimensions(spark, folder, CONFIG)
+    return Run(tables.rows(spark, folder), loaded[folder], CONFIG, keep)
 
 
 # Sources and headers
@@ -323,7 +329,7 @@ def resolve_state_geocode(spark, folder):
 @query
 def multi_geocode(spark, folder):
     run = _run(spark, folder)
-    return records.templates(run.rows, run.dims, CONFIG).select(
+    return run.templates.select(
         "file_idx", "geocode", "item", "customer", "taxable", "tax_cat", "percent_taxable"
     )
 
@@ -332,25 +338,21 @@ def multi_geocode(spark, folder):
 def expand_tax_types(spark, folder):
     run = _run(spark, folder)
     found = records.with_tax_types(
-        records.templates(run.rows, run.dims, CONFIG), run.dims.tax_types
+        run.templates, run.dims.tax_types
     )
     return found.select("file_idx", "geocode", "item", "customer", "tax_cat", "tax_type")
 
 
 @query
 def missing_tax_types(spark, folder):
-    run = _run(spark, folder)
-    found = records.without_tax_types(
-        records.templates(run.rows, run.dims, CONFIG), run.dims.tax_types
-    )
-    return found.select("file_idx", "geocode", "item", "customer", "tax_cat")
+    return _run(spark, folder).misses.select("file_idx", "geocode", "item", "customer", "tax_cat")
 
 
 @query
 def expand_tax_types_default(spark, folder):
     run = _run(spark, folder)
     found = records.with_default_tax_types(
-        records.templates(run.rows, run.dims, CONFIG), run.dims.tax_types
+        run.templates, run.dims.tax_types
     )
     return found.select("file_idx", "geocode", "item", "customer", "tax_cat", "tax_type")
 
@@ -362,19 +364,19 @@ def sheet_matrix(spark, folder):
 
 @query
 def replicate_state(spark, folder):
-    return replicate.expand_copies(_run(spark, folder).replicated)
+    return replicate.expand_copies(_run(spark, folder, keep="records").replicated)
 
 
 @query
 def city_without_state(spark, folder):
-    return _run(spark, folder).without_state.select(
+    return _run(spark, folder, keep="records").without_state.select(
         "geocode", "group", "item", "customer", "provider", "tax_type", "tax_cat", "n"
     )
 
 
 @query
 def enhanced_records(spark, folder):
-    return _run(spark, folder).enhanced()
+    return _run(spark, folder, keep="records").enhanced()
 
 
 @query
@@ -393,7 +395,7 @@ def convert_items(spark, folder):
 
 @query
 def unmapped_ids(spark, folder):
-    return _run(spark, folder).unmapped_ids
+    return _run(spark, folder, keep="records").unmapped_ids
 
 
 # Aggregates and reports
@@ -401,13 +403,12 @@ def unmapped_ids(spark, folder):
 
 @query
 def missing_tax_type_errors(spark, folder):
-    run = _run(spark, folder)
-    return errors.missing_tax_type_errors(run.rows, run.dims, CONFIG)
+    return errors.missing_tax_type_errors(_run(spark, folder).misses)
 
 
 @query
 def city_error_summary(spark, folder):
-    return errors.replication_errors(_run(spark, folder).without_state)
+    return errors.replication_errors(_run(spark, folder, keep="records").without_state)
 
 
 @query
@@ -424,12 +425,12 @@ def unknown_taxable_errors(spark, folder):
 
 @query
 def errors_report(spark, folder):
-    return _run(spark, folder, keep=True).errors()
+    return _run(spark, folder, keep="all").errors()
 
 
 @query
 def mapping_stats(spark, folder):
-    return _run(spark, folder).mapping_stats()
+    return _run(spark, folder, keep="records").mapping_stats()
 
 
 @query
@@ -439,12 +440,12 @@ def rows_processed(spark, folder):
 
 @query
 def batch_summary(spark, folder):
-    return _run(spark, folder).batch_summary()
+    return _run(spark, folder, keep="records").batch_summary()
 
 
 @query
 def run_summary(spark, folder):
-    return _run(spark, folder, keep=True).summary()
+    return _run(spark, folder, keep="all").summary()
 
 
 @query
@@ -467,7 +468,7 @@ def product_items(spark, folder):
 
 @query
 def matrix_update(spark, folder):
-    return _run(spark, folder).matrix()
+    return _run(spark, folder, keep="records").matrix()
 
 
 @query
@@ -475,17 +476,10 @@ def product_item_update(spark, folder):
     return _run(spark, folder).items()
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder beside the checkpoints, which all executors share."""
-    ensure_checkpoint_dir(spark)
-    base = spark.sparkContext.getCheckpointDir()
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
 @query
 def write_matrix(spark, folder):
-    path = _scratch(spark, "matrix_update.csv")
-    files.write_csv(_run(spark, folder).matrix(), path)
+    path = scratch_path(spark, "matrix_update.csv")
+    files.write_csv(_run(spark, folder, keep="records").matrix(), path)
     schema = ", ".join(
         f"`{c}` {'int' if c == 'taxable' else 'string'}" for c in C.MATRIX_COLUMNS
     )
@@ -494,15 +488,15 @@ def write_matrix(spark, folder):
 
 @query
 def write_items(spark, folder):
-    path = _scratch(spark, "product_item_update.csv")
+    path = scratch_path(spark, "product_item_update.csv")
     files.write_csv(_run(spark, folder).items(), path)
     return files.read_csv(spark, path, ", ".join(f"`{c}` string" for c in C.ITEM_COLUMNS))
 
 
 @query
 def write_errors(spark, folder):
-    run = _run(spark, folder, keep=True)
-    path = _scratch(spark, "errors.json")
+    run = _run(spark, folder, keep="all")
+    path = scratch_path(spark, "errors.json")
     files.write_errors(run.error_parts, run.unmapped_ids, path)
     schema = "error_type string, file_name string, error_message string, research_id string"
     written = spark.read.schema(schema).json(path).where(F.col("research_id").isNull())

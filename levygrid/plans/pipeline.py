@@ -13,24 +13,52 @@ from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.stages import durable
 
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 class Run:
-    """Lazy stages of a run.
+    """Lazy stages of a run over named sheet rows.
 
-    ``rows`` are named sheet rows. With ``keep`` the stages that several outputs read
-    are written once to the checkpoint folder instead of being computed per output.
+    ``keep`` says which stages are written once to the checkpoint folder because several
+    branches read them: "none"; "records", for the outputs that all come from records;
+    "all", for a run that writes every output. ``ordered`` keeps the columns that put
+    records into sheet order.
     """
 
     def __init__(
-        self, rows: DataFrame, dims: Dimensions, config: MatrixConfig, keep: bool = False
+        self,
+        rows: DataFrame,
+        dims: Dimensions,
+        config: MatrixConfig,
+        keep: str = "none",
+        ordered: bool = False,
     ):
-        self.rows = rows
         self.dims = dims
         self.config = config
-        self._keep = durable if keep else (lambda df: df)
+        self.ordered = ordered
+        self._keep = durable if keep in ("records", "all") else _as_is
+        self._keep_all = durable if keep == "all" else _as_is
+        self._rows = rows
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self._keep_all(self._rows)
+
+    @cached_property
+    def templates(self) -> DataFrame:
+        """Record templates at their geocodes, with and without tax types."""
+        return self._keep_all(records.templates(self.rows, self.dims, self.config))
 
     @cached_property
     def records(self) -> DataFrame:
-        return self._keep(records.sheet_matrix(self.rows, self.dims, self.config))
+        typed = records.with_tax_types(self.templates, self.dims.tax_types)
+        found = records.as_matrix(typed, self.config)
+        return self._keep(found if self.ordered else found.select(*C.MATRIX_COLUMNS))
+
+    @cached_property
+    def misses(self) -> DataFrame:
+        return records.without_tax_types(self.templates, self.dims.tax_types)
 
     @cached_property
     def replicated(self) -> DataFrame:
@@ -58,7 +86,7 @@ class Run:
         return [
             errors.file_errors(self.rows, self.dims),
             errors.unknown_status_errors(self.rows, self.dims, self.config),
-            errors.missing_tax_type_errors(self.rows, self.dims, self.config),
+            errors.missing_tax_type_errors(self.misses),
             errors.replication_errors(self.without_state),
             errors.unmapped_errors(self.unmapped_ids),
         ]
@@ -72,13 +100,17 @@ class Run:
             replicate.expand_copies(self.replicated)
         )
 
-    def matrix(self) -> DataFrame:
-        """The matrix file: originals and replicated records with item codes.
+    def coded_parts(self) -> tuple[DataFrame, DataFrame]:
+        """Originals and, still counted, replicated records with item codes."""
+        product_codes = self.dims.product_codes
+        return (
+            codes.with_item_codes(self.records, product_codes),
+            codes.with_item_codes(self.replicated, product_codes),
+        )
 
-        Replicated records are converted while still counted, then written out.
-        """
-        originals = codes.with_item_codes(self.records, self.dims.product_codes)
-        copied = codes.with_item_codes(self.replicated, self.dims.product_codes)
+    def matrix(self) -> DataFrame:
+        """The matrix file: originals and replicated records with item codes."""
+        originals, copied = self.coded_parts()
         return originals.select(*C.MATRIX_COLUMNS).unionByName(replicate.expand_copies(copied))
 
     def items(self) -> DataFrame:
@@ -99,11 +131,10 @@ class Run:
     def summary(self) -> DataFrame:
         """Counters of the run. ``errors`` counts file and data-quality errors only."""
         product_codes = self.dims.product_codes
-        mapped = codes.with_item_codes(self.records, product_codes)
-        mapped_copies = codes.with_item_codes(self.replicated, product_codes)
+        mapped, mapped_copies = self.coded_parts()
         mapped_items = codes.with_item_codes(self.candidates, product_codes)
         files = self.rows.select("file_idx").distinct()
-        quality = reduce(DataFrame.unionByName, self.error_parts[:3])
+        type_gaps = self.misses.select("file_idx", "geocode", "tax_cat").distinct()
         parts = report.counters(
             files_processed=report.count_of(files),
             original=report.count_of(self.records),
@@ -114,7 +145,11 @@ class Run:
             product_items_with_mapped_codes=report.total_of(mapped_items, "copies"),
             unique_product_items=report.count_of(mapped_items.select("item").distinct()),
             unmapped_research_ids=report.count_of(self.unmapped_ids),
-            errors=report.count_of(quality),
+            failed_files=report.count_of(errors.failed_files(self.rows, self.dims)),
+            unknown=report.count_of(
+                records.unknown_statuses(self.rows, self.dims, self.config)
+            ),
+            type_gaps=report.count_of(type_gaps),
         )
         generated = F.col("original") + F.col("copied")
         with_codes = F.col("original_mapped") + F.col("copied_mapped")
@@ -130,7 +165,7 @@ class Run:
             ).alias("product_items_excluded"),
             "unique_product_items",
             "unmapped_research_ids",
-            "errors",
+            (F.col("failed_files") + F.col("unknown") + F.col("type_gaps")).alias("errors"),
         )
 
     def mapping_stats(self) -> DataFrame:

@@ -1,0 +1,140 @@
+"""Parsing, collapsing and fan-out of rows."""
+
+import pytest
+
+from levygrid.operators import records
+from levygrid.plans.pipeline import Run
+from tests.fixtures import CONFIG, counted, dimensions, named, row
+
+CHICAGO = ["US17031A0003", "US17031A0047", "US17043A0053"]
+G = "General Sales Tax"
+
+
+def run(spark, rows, **kwargs):
+    return Run(named(spark, rows), dimensions(spark, **kwargs), CONFIG)
+
+
+def sides(spark, business, personal):
+    r = run(spark, [row("1.1", business, personal)])
+    found = records.treatments(records.parsed_sides(r.rows, CONFIG, r.dims.tax_cats))
+    return sorted(
+        (x["customer"], x["taxable"], x["tax_cat"], x["percent_taxable"]) for x in found.collect()
+    )
+
+
+@pytest.mark.parametrize(
+    "business, personal, expected",
+    [
+        # Identical treatment collapses to the general record.
+        (("TAXABLE", G, "100%"), ("TAXABLE", G, "100%"), [("99", 1, "01", "1.000000")]),
+        (("TAXABLE", G, "100%"), ("taxable", G, "1.0"), [("99", 1, "01", "1.000000")]),
+        (("TAXABLE", G, "100%"), ("TAXABLE", "01", "100%"), [("99", 1, "01", "1.000000")]),
+        # Any difference keeps both.
+        (("TAXABLE", G, "100%"), ("NOT TAXABLE", G, "100%"),
+         [("0B", 1, "01", "1.000000"), ("99", 0, "01", "1.000000")]),
+        (("TAXABLE", G, "100%"), ("TAXABLE", "Special Tax", "100%"),
+         [("0B", 1, "01", "1.000000"), ("99", 1, "02", "1.000000")]),
+        (("TAXABLE", G, "8.75%"), ("TAXABLE", G, "0%"),
+         [("0B", 1, "01", "0.087500"), ("99", 1, "01", "0.000000")]),
+        (("TAXABLE", G, "10.5%"), ("TAXABLE", G, "5.25%"),
+         [("0B", 1, "01", "0.105000"), ("99", 1, "01", "0.052500")]),
+        # Equal text of different treatments below six decimals still differs.
+        (("TAXABLE", G, "0.0000001"), ("TAXABLE", G, "0"),
+         [("0B", 1, "01", "0.000000"), ("99", 1, "01", "0.000000")]),
+        # One valid side.
+        (("TAXABLE", "Software", "8.75%"), ("TO RESEARCH", "Unknown", "50%"),
+         [("0B", 1, "Software", "0.087500")]),
+        (("DRILL DOWN", "x", "invalid%"), ("EXEMPT", "", "0%"), [("99", 0, "00", "0.000000")]),
+        (("TAXABLE", G, "bad"), ("TAXABLE", G, "1"), [("99", 1, "01", "1.000000")]),
+        (("TAXABLE", G, "1"), ("", "", ""), [("0B", 1, "01", "1.000000")]),
+        # None.
+        (("TO RESEARCH", "x", "invalid%"), ("DRILL DOWN", "y", "bad_percent"), []),
+        (("", G, "1"), ("", G, "1"), []),
+    ],
+)
+def test_sides(spark, business, personal, expected):
+    assert sides(spark, business, personal) == expected
+
+
+def test_row_without_id_or_tag_yields_nothing(spark):
+    r = run(spark, [row(""), row("1.1", admin="Section")])
+    assert r.records.count() == 0
+
+
+def test_city_file_repeats_rows_for_each_geocode(spark):
+    r = run(spark, [row("1.1.1.4.3.0.0.0")])
+    assert counted(r.records, "geocode", "tax_type", "customer") == {
+        (g, "47", "99"): 1 for g in CHICAGO
+    }
+
+
+def test_different_sides_double_the_records(spark):
+    r = run(spark, [row("1.1", ("Taxable", G, "10%"), ("Taxable", G, "8.75%"))])
+    assert r.records.count() == 6
+
+
+def test_tag_is_matched_in_any_case(spark):
+    r = run(spark, [row("1.1.1"), row("1.1.2", admin="Other"), row("1.1.3", admin="TAG LEVEL")])
+    assert sum(counted(r.records, "item").values()) == 6
+
+
+def test_state_file_and_sorted_distinct_types(spark):
+    r = run(spark, [row("1.1", file="Illinois")])
+    assert counted(r.records, "geocode", "tax_type") == {
+        ("US1700000000", "01"): 1, ("US1700000000", "02"): 1,
+    }
+
+
+def test_types_are_found_in_any_case(spark):
+    assert run(spark, [row("1.1", file="Boulder")]).records.count() == 1
+
+
+def test_upper_case_key_wins_over_other_cases(spark):
+    types = [("us08013a0025", "01", "09"), ("US08013A0025", "01", "01")]
+    r = run(spark, [row("1.1", file="Boulder")], tax_types=types)
+    assert counted(r.records, "tax_type") == {("01",): 1}
+    types = [("us08013a0025", "01", "09"), ("Us08013A0025", "01", "01")]
+    r = run(spark, [row("1.1", file="Boulder")], tax_types=types)
+    assert counted(r.records, "tax_type") == {("09",): 1}
+
+
+def test_no_fallback_to_the_state(spark):
+    r = run(spark, [row("1.1", file="Denver")])
+    assert r.records.count() == 0
+    assert r.misses.count() == 1
+    default = records.with_default_tax_types(r.templates, r.dims.tax_types)
+    assert counted(default, "tax_type") == {("01",): 1}
+
+
+def test_unknown_file_yields_nothing(spark):
+    r = run(spark, [row("1.1", file="Atlantis")])
+    assert r.records.count() == 0
+
+
+def test_all_fields(spark):
+    found = run(spark, [row("1.1.1.4.3.0.0.0", file="Boulder")]).records.collect()
+    assert [list(r) for r in found] == [[
+        "US08013A0025", "", "7777", "1.1.1.4.3.0.0.0", "99", "99", "01", 1, "01", "01",
+        "1999-01-01", "01", "0.087500",
+    ]]
+
+
+def test_missing_state_geocode_falls_through_to_the_city(spark):
+    geo = [("US17031A0003", "IL", "ILLINOIS")]
+    r = run(spark, [row("1.1", file="Illinois")], geo=geo)
+    assert counted(r.records, "geocode") == {("US17031A0003",): 1}
+
+
+def test_salted_shuffle_joins_give_the_same_records(spark):
+    from levygrid.config import MatrixConfig
+
+    rows = [row(f"1.1.{i}", file=f) for i in range(20) for f in ("Chicago", "Illinois", "Boulder")]
+    small = run(spark, rows)
+    config = MatrixConfig(broadcast_bytes=-1, salts=4)
+    large = Run(named(spark, rows), dimensions(spark, config=config), config)
+    plan = large.records._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan
+    columns = ["geocode", "item", "customer", "tax_type", "tax_cat"]
+    assert counted(small.records, *columns) == counted(large.records, *columns)
+    assert counted(small.matrix(), *columns) == counted(large.matrix(), *columns)
+    assert large.misses.count() == small.misses.count()
