@@ -77,17 +77,15 @@ def treatments(parsed: DataFrame) -> DataFrame:
             format_percent(F.col(f"{name}_percent")).alias("percent_taxable"),
         )
 
-    both = F.array(
-        F.when(
-            F.col("business_valid") & ~same_treatment(),
-            side(0, "business", C.CUSTOMER_BUSINESS),
-        ),
-        F.when(F.col("personal_valid"), side(1, "personal", C.CUSTOMER_PERSONAL)),
+    business = F.when(
+        F.col("business_valid") & ~same_treatment(), side(0, "business", C.CUSTOMER_BUSINESS)
     )
+    personal = F.when(F.col("personal_valid"), side(1, "personal", C.CUSTOMER_PERSONAL))
     kept = [c for c in parsed.columns if not c.startswith(tuple(SIDES))]
     return (
         parsed.where(F.col("business_valid") | F.col("personal_valid"))
-        .select(*kept, F.explode(both).alias("side"))
+        .select(*kept, business.alias("b"), personal.alias("p"))
+        .select(*kept, F.explode(F.array("b", "p")).alias("side"))
         .where(F.col("side").isNotNull())
         .select(*kept, "side.*")
     )

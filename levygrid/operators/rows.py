@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from levygrid.config import LOGICAL_COLUMNS, MatrixConfig
-from levygrid.functions.text import cell, jurisdiction_name, row_description
+from levygrid.functions.text import (
+    DESCRIPTION_CELLS,
+    blank_if_null,
+    cell,
+    jurisdiction_name,
+    row_description,
+    ws,
+)
 from levygrid.functions.treatment import is_uncertain
 
 
@@ -25,6 +32,25 @@ def named_rows(sheet_rows: DataFrame, header: dict[str, int | None]) -> DataFram
     )
 
 
+def named_columns(wide: DataFrame, header: dict[str, int | None]) -> DataFrame:
+    """Like ``named_rows`` for cells held in columns ``c0, c1, ...``.
+
+    Columns that no later step uses are then not even read.
+    """
+
+    def at(index: int | None) -> Column:
+        known = index is not None and f"c{index}" in wide.columns
+        return ws(blank_if_null(F.col(f"c{index}"))) if known else F.lit("")
+
+    return wide.select(
+        "file_idx",
+        "file_name",
+        "ordinal",
+        *[at(header.get(name)).alias(name) for name in LOGICAL_COLUMNS],
+        F.concat(*[at(i) for i in DESCRIPTION_CELLS]).alias("description"),
+    )
+
+
 def tagged_any_case(rows: DataFrame, config: MatrixConfig) -> DataFrame:
     """Rows carrying the admin tag in any case (the matrix path)."""
     return rows.where(F.upper("admin") == F.upper(F.lit(config.admin_filter_value)))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from levygrid.config import MatrixConfig
 from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.numbering import number_rows
-from levygrid.operators.rows import named_rows
+from levygrid.operators.rows import named_columns
 from levygrid.operators.stages import widened
 
 # Columns of the derived sheets by logical name.
@@ -152,8 +152,8 @@ def _pick(values: list[str], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """One positional sheet row per line item: ``file_idx, file_name, ordinal, cells``."""
+def sheet_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """One sheet row per line item: ``file_idx, file_name, ordinal`` and cells ``c0, ...``."""
     lines = (
         widened(table(spark, folder, "lineitem").select(*ROW_ORDER))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -196,7 +196,7 @@ def sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
     second_text = F.when(part % 3 == 0, "").otherwise(
         F.concat(F.lit(" part "), part.cast("string"))
     )
-    cells = F.array(
+    cells = [
         F.lit(""),
         research_id(part),
         first_text,
@@ -209,15 +209,22 @@ def sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
         _pick(PERSONAL_STATUSES, (order + F.when(even, 0).otherwise(3)) % 9),
         F.when(order % 4 == 3, "Mystery").otherwise(category),
         percent(part + F.when(even, 0).otherwise(1)),
-    )
+    ]
     return lines.select(
         file_idx.alias("file_idx"),
         file_name.alias("file_name"),
         F.struct(*ROW_ORDER).alias("ordinal"),
-        cells.alias("cells"),
+        *[c.alias(f"c{i}") for i, c in enumerate(cells)],
     )
 
 
+def sheet_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows with all cells in one array: ``file_idx, file_name, ordinal, cells``."""
+    wide = sheet_cells(spark, folder)
+    cells = [c for c in wide.columns if c not in ("file_idx", "file_name", "ordinal")]
+    return wide.select("file_idx", "file_name", "ordinal", F.array(*cells).alias("cells"))
+
+
 def header_cells() -> Column:
     """Header of a derived sheet. By file: a second Admin column, a missing one, blanks."""
     f = F.col("file_idx")
@@ -260,7 +267,7 @@ def numbered_sheets(spark: SparkSession, folder: str, config: MatrixConfig) -> D
 
 
 def rows(spark: SparkSession, folder: str) -> DataFrame:
-    return named_rows(sheet_rows(spark, folder), HEADER)
+    return named_columns(sheet_cells(spark, folder), HEADER)
 
 
 def dimensions(spark: SparkSession, folder: str, config: MatrixConfig) -> Dimensions:

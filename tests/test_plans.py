@@ -1,0 +1,64 @@
+"""Physical plans: what must and must not be in them."""
+
+import os
+import re
+
+import pytest
+
+from levygrid.operators.lookup import Dimension
+from levygrid.operators import replicate
+from levygrid.plans import catalog
+from levygrid.sources import tables
+from tests.fixtures import CONFIG, dimensions, matrix, named, row
+from levygrid.plans.pipeline import Run
+
+FOLDER = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@needs_tables
+def test_no_nested_loops_products_or_python(spark):
+    for name in ("matrix_update", "product_items", "errors_report", "run_summary"):
+        text = plan(catalog.queries()[name](spark, FOLDER))
+        for bad in ("NestedLoop", "CartesianProduct", "PythonUDF", "EvalPython", "InPandas"):
+            assert bad not in text, (name, bad)
+
+
+@needs_tables
+def test_records_need_no_shuffle_of_rows(spark):
+    """With small look-ups, rows go from scan to records in one stage."""
+    run = catalog._run(spark, FOLDER)
+    text = plan(run.records)
+    assert "BroadcastHashJoin" in text
+    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+
+
+@needs_tables
+def test_scans_read_only_needed_columns(spark):
+    text = plan(tables.rows(spark, FOLDER).select("current_id"))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    lineitem = next(s for s in schemas if "l_partkey" in s)
+    assert set(re.findall(r"(\w+):", lineitem)) == {"l_partkey", "l_suppkey"}
+
+
+def test_replication_aggregates_before_it_joins(spark):
+    text = plan(replicate.replicated(matrix(spark, [("US1700000000", "1", "99", "01", "01")])))
+    join = text.index("Join")
+    assert text.index("HashAggregate", join) > join  # Below the join, both sides.
+    assert "partial_count" in text and "NestedLoop" not in text
+
+
+def test_large_dimension_is_not_broadcast(spark):
+    small = dimensions(spark).tax_cats
+    assert small.small
+    assert not Dimension(small.plan, small.keys, broadcast_bytes=10, salts=4).small
+
+
+def test_durable_stage_is_read_by_column(spark):
+    run = Run(named(spark, [row("1.1")]), dimensions(spark), CONFIG, keep="all")
+    text = plan(run.records.select("item"))
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["item:string"]
