@@ -1,4 +1,8 @@
-"""Headline queries, timed; one JSON line on standard output."""
+"""Headline queries, timed one after the other; one JSON line on standard output.
+
+One small read runs before the clock starts, so that class loading is not billed to the
+first query. Look-ups are loaded by the first query that needs them and are billed to it.
+"""
 
 from __future__ import annotations
 
@@ -23,6 +27,14 @@ HEADLINE = [
 ]
 
 
+def _scale(folder: str) -> float | str:
+    text = folder.rstrip("/").rsplit("sf", 1)[-1]
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -36,6 +48,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    spark.read.parquet(f"{folder}/region.parquet").groupBy("r_name").count().collect()
     known = queries()
     seconds: dict[str, float] = {}
     for name in HEADLINE:
@@ -48,7 +61,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
+        "sf": _scale(folder),
     }))
 
 

@@ -75,8 +75,13 @@ def test_jurisdiction_name(spark):
             "Denver Tax Research", "Sales Tax Research", "", "Ohio Sales Tax Research.xlsx",
             "A Sales Tax Research B Sales Tax Research",
             "A Sales Tax Research Sales Tax Research",
+            "A Sales Tax Research Sales Tax Research x Sales Tax Research\u00a0",
+            "\u00a0A Sales Tax Research\t", "x" * 20_000 + " Sales Tax Research",
         ],
-    ) == ["ILLINOIS", "BATON ROUGE", "CHICAGO", None, None, None, None, None, None, "A"]
+    ) == [
+        "ILLINOIS", "BATON ROUGE", "CHICAGO", None, None, None, None, None, None, "A", "A", "A",
+        "X" * 20_000,
+    ]
 
 
 def test_parent_geocode(spark):

@@ -12,10 +12,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 # The composite ones and the cheap ones; LEVYGRID_ALL_QUERIES=1 runs every query.
 DEFAULT = [
-    "sheet_scan", "header_mapping", "dim_tax_types", "dim_product_code", "jurisdiction_name",
-    "ancestor_ids", "format_percent", "output_folder_name", "resolve_geocodes",
-    "missing_tax_types", "errors_report", "run_summary", "product_items", "matrix_update",
-    "product_item_update", "write_matrix",
+    "sheet_scan", "header_mapping", "format_percent", "output_folder_name", "resolve_geocodes",
+    "errors_report", "run_summary", "product_items", "matrix_update", "product_item_update",
 ]
 NAMES = sorted(contract.queries()) if os.environ.get("LEVYGRID_ALL_QUERIES") else DEFAULT
 

@@ -78,7 +78,7 @@ record = st.tuples(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(record, min_size=1, max_size=40))
 def test_any_bag_equals_the_pairwise_rule(spark, rows):
     check(spark, rows)
