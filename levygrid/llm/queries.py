@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from levygrid.llm import langid, mixing, packing, quality, simhash
+from levygrid.llm import fingerprints, langid, mixing, packing, quality, simhash, warc
 from levygrid.llm.common import table
 
 #: Folder of the public tokenizers' files, where it isn't the installed one.
@@ -23,6 +23,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -49,5 +57,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_quality_rules, op4_simhash_near_dedup, op5_language_id, op7_packing, op9_source_mixing]
+    own = [
+        op1_document_fingerprints, op3_quality_rules, op4_simhash_near_dedup, op5_language_id,
+        op6_warc, op7_packing, op9_source_mixing,
+    ]
     return {f.__name__: f for f in own}
