@@ -119,17 +119,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(
-    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS, smoothing: float = 0.5,
 ) -> Model:
     """Fit on whole texts of a sample of ``labelled`` rows of ``sample_rows`` expected rows.
 
-    A row is taken by a hash of its text and label; rows without text or label don't count.
+    A row is taken by a hash of its id and text; rows without text or label don't count.
     Executors count n-grams; the driver receives one count for each language and bucket,
     and halves the number of buckets until the matrix fits ``MODEL_BYTES``. Without
     any labelled row the model knows no language.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
+    rows = labelled.select(
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id")
+    ).dropna(subset=["text", "lang"])
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
@@ -137,7 +139,7 @@ def fit(
     while buckets > 256 and buckets * len(languages) * 4 > MODEL_BYTES:
         buckets //= 2
     share = min(1.0, sample_rows / sum(sizes.values()))
-    at = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / (1 << 30)
+    at = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / (1 << 30)
     index = {lang: i for i, lang in enumerate(languages)}
 
     def count(batches):
@@ -158,7 +160,7 @@ def fit(
             )
 
     tasks = labelled.sparkSession.sparkContext.defaultParallelism
-    sample = rows.where(at < share).repartition(tasks, F.xxhash64("text"))
+    sample = rows.where(at < share).select("text", "lang").repartition(tasks)
     found = (
         sample.mapInArrow(count, "lang string, bucket long, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
