@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from levygrid.llm import fingerprints, langid, mixing, packing, quality, simhash, warc
+from levygrid.llm import (
+    extraction, fingerprints, langid, licenses, mixing, packing, quality, quotes, simhash, warc,
+)
 from levygrid.llm.common import table
 
 #: Folder of the public tokenizers' files, where it isn't the installed one.
@@ -27,6 +29,10 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
@@ -52,13 +58,23 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.main_texts(pages, extraction.fit_on(pages))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        op1_document_fingerprints, op3_quality_rules, op4_simhash_near_dedup, op5_language_id,
-        op6_warc, op7_packing, op9_source_mixing,
+        op1_document_fingerprints, op2_license_scan, op3_quality_rules, op4_simhash_near_dedup,
+        op5_language_id, op6_warc, op7_packing, op8_html_extraction, op9_source_mixing,
+        op10_quotation_linking,
     ]
     return {f.__name__: f for f in own}
