@@ -1,0 +1,99 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from levygrid.llm import bytebpe, packing
+from levygrid.llm.queries import vocabulary
+from tests.llm.frames import ROWS, documents
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bytebpe.Encoder(vocabulary())
+
+
+def plain(encoder, text):
+    return encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+ALPHABET = ["'", "s", "t", "re", "ll", "ve", "d", "m", " ", "  ", "\n", "\t", "a", "B", "é", "9", "½", "!", "’", "日", "<|endoftext|>", "́", " "]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ALPHABET), max_size=25).map("".join) | st.text(max_size=20), max_size=5))
+def test_ids_are_the_tokenizers(encoder, texts):
+    assert [x.tolist() for x in encoder.encode(texts)] == [plain(encoder, t) for t in texts]
+
+
+def test_table_is_cleared(encoder, monkeypatch):
+    monkeypatch.setattr(bytebpe, "_ENTRIES", 10)
+    texts = [f"some words {i} and {i * i}" for i in range(50)]
+    for t in texts:
+        assert encoder.encode([t])[0].tolist() == plain(encoder, t)
+
+
+def slow_best_fit(lengths, capacity):
+    """Decreasing lengths, each to the window with the least room that is enough."""
+    rooms, fill = [], []
+    for n in sorted(lengths, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - n)
+        else:
+            rooms.append(capacity - n)
+        fill = sorted(rooms)
+    return fill
+
+
+@pytest.mark.parametrize("capacity", [1, 2, 7, 64, 100])
+def test_best_fit(capacity):
+    draw = random.Random(capacity)
+    lengths = np.array([draw.randint(1, capacity) for _ in range(500)])
+    window, offset = packing.best_fit_decreasing(lengths, capacity)
+    spans = defaultdict(list)
+    for w, o, n in zip(window, offset, lengths):
+        spans[w].append((o, n))
+    for pieces in spans.values():
+        at = 0
+        for o, n in sorted(pieces):
+            assert o == at
+            at += n
+        assert at <= capacity
+    assert sorted(capacity - sum(n for _, n in p) for p in spans.values()) == slow_best_fit(lengths.tolist(), capacity)
+
+
+@pytest.mark.parametrize("block", [1 << 16, 2])
+def test_pieces(spark, encoder, block):
+    rows = packing.pack(documents(spark).coalesce(1), vocabulary(), block=block).collect()
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append(r)
+    for pieces in sequences.values():
+        total = sum(r["length"] for r in pieces)
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at and r["length"] > 0
+            at += r["length"]
+        assert total <= 1024
+        assert {r["padded_length"] for r in pieces} == {total if total & (total - 1) == 0 else 1024}
+    expected = sorted((i is None, i or 0, tuple([*plain(encoder, t), 0])) for i, t, _, _ in ROWS)
+    crcs = defaultdict(list)
+    for r in rows:
+        crcs[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    for null, i, ids in expected:
+        mine = set(crcs[None if null else i])
+        cut = {
+            (s, len(ids[s : s + 1024]), zlib.crc32(np.array(ids[s : s + 1024], "<u4").tobytes()), len(ids))
+            for s in range(0, len(ids), 1024)
+        }
+        assert mine == cut
+    assert sum(map(len, crcs.values())) == sum(-(-len(ids) // 1024) for _, _, ids in expected)
+
+
+def test_empty_table(spark):
+    assert packing.pack(documents(spark, []), vocabulary()).count() == 0
