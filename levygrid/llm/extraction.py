@@ -81,7 +81,8 @@ class Composer:
 
     def _article(self) -> str:
         draw = self.draw
-        parts = [f"<h1>{self._text(2, 9)}</h1>"]
+        title = f"<h1>{self._text(2, 9)}</h1>"
+        parts = [f'<header class="post-header">{title}</header>' if draw.random() < 0.15 else title]
         for _ in range(draw.choice([1, 2, 3, 4, 6, 9, 14])):
             kind = draw.random()
             text = self._text(4, draw.choice([12, 60, 150]))
@@ -110,7 +111,12 @@ class Composer:
 
         top = some(["header", "nav", "notice", "advert", "form"], 0.5)
         tail = some(["comment", "side", "advert", "notice", "share", "form"], 0.4) + some(["footer"], 0.8)
-        return f"<body>{''.join(top)}{self._article()}{''.join(tail)}</body>"
+        # A wrapper with a promising name may hold much that isn't the article.
+        middle = [self._article(), *tail]
+        if draw.random() < 0.4:
+            at = draw.randint(1, len(middle))
+            middle[:at] = [f"<div{self._name('main', 0.3)}>{''.join(middle[:at])}</div>"]
+        return "".join(top + middle)
 
 
 def _labelled(page: str) -> str | None:

@@ -53,6 +53,7 @@ class Nodes:
         self.kind: list[int] = []
         self.own: list[int] = []
         self.above: list[int] = []
+        self.near: list[int] = []
         self.rank: list[int] = []
         self.before: list[int] = []
         self.gap: list[bool] = []
@@ -69,6 +70,7 @@ class Nodes:
         self.kind.append(_KINDS.index(tag) if tag in _KINDS else 3 if tag[0] == "h" and tag[1:].isdigit() else len(_KINDS))
         self.own.append(own)
         self.above.append(own | self.above[parent] if parent >= 0 else own)
+        self.near.append(own or (self.near[parent] if parent >= 0 else 0))
         self.rank.append(children.get(parent, 0))
         children[parent] = children.get(parent, 0) + 1
         self.before.append(previous.get(parent, -1))
@@ -131,7 +133,7 @@ class Nodes:
                 found = lower.find(f"</{name}", at)
                 at = end if found < 0 else source.find(">", found) + 1 or end
                 continue
-            if name in _VOID or name in ("html", "head", "body") and not attributes:
+            if name in _VOID or name in ("html", "head", "body"):
                 continue
             if block and any(s[1] == "p" for s in stack[-3:]):
                 for i in range(len(stack) - 1, max(0, len(stack) - 4), -1):
@@ -184,7 +186,7 @@ class Nodes:
         earlier = np.where(before >= 0, chars[before], 0)
         later = np.zeros(n)
         later[before[before >= 0]] = chars[before >= 0]
-        own, above = np.array(self.own), np.array(self.above)
+        own, above, near = np.array(self.own), np.array(self.above), np.array(self.near)
         kind = np.array(self.kind)
         bits = [1 << i for i in range(len(HINTS))]
         below = own | 0
@@ -200,7 +202,7 @@ class Nodes:
             np.log1p(earlier), np.log1p(later), (sums[0][start] - sums[0][root]) / whole,
             (kind == len(_KINDS) - 1), *[kind == i for i in range(len(_KINDS) - 1)],
             *[(own & b) > 0 for b in bits], *[(above & b) > 0 for b in bits], *[(below & b) > 0 for b in bits],
-            *[(own[up] & b) > 0 for b in bits],
+            *[(near & b) > 0 for b in bits],
         ]
         return np.stack([np.asarray(c, np.float32) for c in columns], axis=1)
 

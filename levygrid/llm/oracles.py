@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from levygrid.llm.licenses import TEMPLATES
+
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
 _QUALITY = rf"""
@@ -88,5 +90,87 @@ FROM r
 """
 
 
+_VALUES = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(TEMPLATES))
+_NORMAL = "string_split(trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g')), ' ')"
+
+_LICENSES = rf"""
+WITH t AS (SELECT tid, license_id, {_NORMAL.format("body")} AS w FROM (VALUES {_VALUES}) AS v(tid, license_id, body)),
+tb AS MATERIALIZED (
+    SELECT tid, license_id, len(w) - 1 AS n, w[i] || ' ' || w[i+1] AS g, count(*) AS c
+    FROM (SELECT *, unnest(range(1, len(w))) AS i FROM t) GROUP BY ALL),
+p AS (
+    SELECT doc_id, unnest(list_distinct(list_concat(
+        string_split(x, chr(10)), string_split_regex(x, '\n[ \t\r]*\n'), [x]))) AS passage
+    FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS x FROM documents)),
+q AS MATERIALIZED (
+    SELECT DISTINCT doc_id, passage, w FROM (SELECT doc_id, passage, {_NORMAL.format("passage")} AS w FROM p)
+    WHERE len(w) BETWEEN 2 AND (SELECT 2 * max(n) FROM tb)),
+qb AS (
+    SELECT doc_id, passage, len(w) - 1 AS n, w[i] || ' ' || w[i+1] AS g, count(*) AS c
+    FROM (SELECT *, unnest(range(1, len(w))) AS i FROM q) GROUP BY ALL),
+d AS (
+    SELECT qb.doc_id, passage, license_id,
+           2 * sum(least(qb.c, tb.c))::BIGINT / (any_value(qb.n) + any_value(tb.n)) AS dice
+    FROM qb JOIN tb USING (g) GROUP BY qb.doc_id, passage, license_id, tid),
+b AS (
+    SELECT doc_id, passage, license_id, dice FROM d WHERE 100 * dice >= 80
+    QUALIFY row_number() OVER (PARTITION BY doc_id, passage ORDER BY dice DESC, license_id) = 1)
+SELECT doc_id, license_id, max(dice) AS dice, count(*) AS n_passages FROM b GROUP BY doc_id, license_id
+"""
+
+_QUOTES = r"""
+WITH RECURSIVE m AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS n,
+           string_split_regex(coalesce(text, ''), '\r?\n') AS ls FROM conversations),
+l AS MATERIALIZED (
+    SELECT conv_id, n, i, len(prefix) - len(replace(prefix, '>', '')) AS level, body,
+           trim(regexp_replace(lower(body), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS norm
+    FROM (SELECT conv_id, n, i, regexp_extract(ls[i], '^([ \t]*>)+') AS prefix,
+                 regexp_replace(ls[i], '^([ \t]*>)+ ?', '') AS body
+          FROM (SELECT conv_id, n, ls, unnest(range(1, len(ls) + 1)) AS i FROM m))),
+s AS (
+    SELECT *, CASE WHEN lag(level) OVER w IS DISTINCT FROM level THEN 1 ELSE 0 END AS fresh
+    FROM l WHERE norm <> '' WINDOW w AS (PARTITION BY conv_id, n ORDER BY i)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY conv_id, n ORDER BY i) AS run FROM s),
+u AS MATERIALIZED (
+    SELECT conv_id, n, level, norm AS unit FROM g
+    UNION
+    SELECT conv_id, n, level, string_agg(norm, ' ' ORDER BY i) FROM g GROUP BY conv_id, n, level, run),
+o AS (SELECT conv_id, unit, min(n) AS origin FROM u WHERE level = 0 GROUP BY conv_id, unit),
+k AS (
+    SELECT u.conv_id, u.n, level, CASE WHEN origin < u.n THEN origin END AS origin
+    FROM u LEFT JOIN o ON u.unit = o.unit AND u.conv_id IS NOT DISTINCT FROM o.conv_id WHERE level > 0),
+a AS (
+    SELECT conv_id, n, count(*) AS quotes, count(origin) AS matched, max(level)::INTEGER AS levels,
+           min(CASE WHEN origin IS NOT NULL THEN {'level': level, 'o': -origin} END) AS nearest
+    FROM k GROUP BY conv_id, n),
+v AS MATERIALIZED (
+    SELECT m.conv_id, m.n, turn, role, text, coalesce(-nearest.o, CASE WHEN m.n > 1 THEN m.n - 1 END) AS reply_to,
+           coalesce(quotes, 0) AS quotes, coalesce(matched, 0) AS matched, coalesce(levels, 0) AS levels
+    FROM m LEFT JOIN a ON m.n = a.n AND m.conv_id IS NOT DISTINCT FROM a.conv_id),
+h AS (
+    SELECT conv_id, n, 0::BIGINT AS depth FROM v WHERE reply_to IS NULL
+    UNION ALL
+    SELECT v.conv_id, v.n, depth + 1 FROM v JOIN h ON v.reply_to = h.n AND v.conv_id IS NOT DISTINCT FROM h.conv_id),
+e AS (
+    SELECT *, coalesce(lead(level) OVER (PARTITION BY conv_id, n ORDER BY i), 0) AS next FROM l),
+x AS (
+    SELECT conv_id, n, trim(regexp_replace(string_agg(body, chr(10) ORDER BY i),
+        '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g')) AS own
+    FROM e WHERE level = 0 AND NOT (next > 0 AND regexp_matches(body,
+        '(?i)^[ \t\n\x0B\f\r]*(?:on\b.*\bwrote|.*\bwrote|.*\bwrites)[ \t\n\x0B\f\r]*:[ \t\n\x0B\f\r]*$'))
+    GROUP BY conv_id, n)
+SELECT v.conv_id, v.n AS position, turn, role, CASE WHEN text IS NOT NULL THEN coalesce(own, '') END AS text,
+       reply_to, depth, levels AS quote_levels, quotes, matched
+FROM v JOIN h ON v.n = h.n AND v.conv_id IS NOT DISTINCT FROM h.conv_id
+LEFT JOIN x ON v.n = x.n AND v.conv_id IS NOT DISTINCT FROM x.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": _QUALITY, "op9_source_mixing": _MIXING}
+    return {
+        "op2_license_scan": _LICENSES,
+        "op3_quality_rules": _QUALITY,
+        "op9_source_mixing": _MIXING,
+        "op10_quotation_linking": _QUOTES,
+    }

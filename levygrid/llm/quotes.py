@@ -76,7 +76,7 @@ def linked(
     """Messages with their place and the place each answers.
 
     Returns (messages, places): ``messages`` has the columns of ``df`` and ``__row``;
-    ``places`` has __row, conv, n (place in the conversation, from 1), parent (the place answered,
+    ``places`` has __row, key (of the conversation), n (place in the conversation, from 1), parent (the place answered,
     null for the first), quotes and matched (numbers of quoted passages and lines).
 
     A quoted passage and each of its lines are hashed; so are the unquoted passages and lines of
@@ -87,17 +87,18 @@ def linked(
     """
     scratch = Scratch(df.sparkSession)
     messages = scratch.write(df.withColumn("__row", F.monotonically_increasing_id()))
-    narrow = messages.select(F.col("__row"), F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"))
-    placed = scratch.write(number_rows(narrow, ["conv"], [F.col("turn"), F.col("__row")], "n"))
+    conv = F.col(conv_col).cast("string")
+    narrow = messages.select(
+        "__row", F.col(turn_col).alias("turn"),
+        F.when(conv.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), conv)).alias("key"),
+    )
+    placed = scratch.write(number_rows(narrow, ["key"], [F.col("turn"), F.col("__row")], "n"))
     units = (
         messages.select("__row", _hashes(runs(parsed_lines(F.col(text_col)))).alias("units"))
         .select("__row", F.explode("units").alias("u")).select("__row", "u.*")
-        .join(placed.select("__row", "conv", "n"), "__row")
+        .join(placed.select("__row", "key", "n"), "__row")
     )
-    units = scratch.write(units.select(
-        "__row", "n", "level", "hash",
-        F.when(F.col("conv").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("conv").cast("string"))).alias("key"),
-    ))
+    units = scratch.write(units.select("__row", "key", "n", "level", "hash"))
     originals = units.where("level = 0").groupBy("key", "hash").agg(F.min("n").alias("origin"))
     quoted = units.where("level > 0").join(originals, ["key", "hash"], "left")
     before = F.when(F.col("origin") < F.col("n"), F.col("origin"))
@@ -109,7 +110,7 @@ def linked(
     parent = F.coalesce(-F.col("nearest.o"), F.when(F.col("n") > 1, F.col("n") - 1))
     zero = lambda c: F.coalesce(c, F.lit(0))
     return messages, scratch.write(placed.join(links, "__row", "left").select(
-        "__row", "conv", "n", parent.alias("parent"), zero("quotes").alias("quotes"),
+        "__row", "key", "n", parent.alias("parent"), zero("quotes").alias("quotes"),
         zero("matched").alias("matched"), zero("levels").alias("levels"),
     ))
 
@@ -121,17 +122,17 @@ def depths(places: DataFrame) -> DataFrame:
     rounds is the logarithm of the longest chain; each is written to the shared folder.
     """
     scratch = Scratch(places.sparkSession)
-    # The key spreads a large conversation: it has the place in it.
+    # A large conversation spreads over tasks, as the joins' keys have the place in it.
     jumps = places.select(
-        "__row", F.xxhash64("conv").alias("c"), F.col("conv").isNull().alias("nil"), "n",
+        "__row", "key", "n",
         F.coalesce("parent", F.lit(0)).alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
     )
     jumps = scratch.write(jumps)
     while jumps.where(F.col("up") > 0).limit(1).count():
-        upper = jumps.select("c", "nil", F.col("n").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
+        upper = jumps.select("key", F.col("n").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
         following = scratch.write(
-            jumps.join(upper, ["c", "nil", "up"], "left").select(
-                "__row", "c", "nil", "n", F.coalesce("further", F.lit(0)).alias("up"),
+            jumps.join(upper, ["key", "up"], "left").select(
+                "__row", "key", "n", F.coalesce("further", F.lit(0)).alias("up"),
                 (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             )
         )
