@@ -182,7 +182,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         key.alias("key"),
     )
     shares = [i / ranges for i in range(1, ranges)]
-    bounds = np.unique(np.array(rows.approxQuantile("key", shares, 0.25 / ranges), np.float64))
+    bounds = rows.approxQuantile("key", shares, 0.25 / ranges) if shares else []
+    bounds = np.unique(np.array(bounds, np.float64))
 
     @F.arrow_udf("int")
     def place(keys: pa.Array) -> pa.Array:
