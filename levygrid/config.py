@@ -33,8 +33,8 @@ class MatrixConfig:
     header_duplicates: str = "last"
     # Dimensions up to this many bytes of text are broadcast; larger ones shuffle.
     broadcast_bytes: int = 32 << 20
-    # Copies of a dimension row in a salted shuffle join.
-    salts: int = 16
+    # Copies of a dimension row in a salted shuffle join; None: by the shuffle partitions.
+    salts: int | None = None
     geo_file: str = "geo_state.csv"
     tax_cat_file: str = "tax_cat.csv"
     tax_type_file: str = "unique_tax_type.csv"

@@ -14,6 +14,7 @@ from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.lookup import lookup_join
 from levygrid.operators.records import unknown_statuses
 from levygrid.operators.rows import with_jurisdiction
+from levygrid.operators.stages import durable
 
 
 def first_n(df: DataFrame, key: list[str], order: list[str], n: int, item: str) -> DataFrame:
@@ -81,6 +82,8 @@ def unknown_status_errors(
 def missing_tax_types(misses: DataFrame) -> DataFrame:
     """Per file, geocode and category without tax types: record count and first items."""
     key = ["file_idx", "file_name", "geocode", "tax_cat"]
+    # Read twice, but computed once.
+    misses = durable(misses.select(*key, "ordinal", "side_idx", "item"))
     counts = misses.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     samples = first_n(misses, key, ["ordinal", "side_idx"], C.MISSING_TYPE_SAMPLE, "item")
     return counts.join(samples, key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from levygrid import constants as C
 from levygrid.config import MatrixConfig
@@ -52,29 +52,33 @@ def counted(candidate_rows: DataFrame) -> DataFrame:
 def hierarchical(ids: DataFrame, texts: DataFrame, config: MatrixConfig) -> DataFrame:
     """Add ``description`` to distinct (file, id) keys: ancestors' texts, then the own one.
 
-    A missing or blank text counts as one space. Keys, not rows, are expanded, to at
-    most eight look-ups each, and those are put together again in id order. The top ids
-    of a file are asked for by all ids below them; the look-up join spreads them.
+    A missing or blank text counts as one space. The own text is met one to one, by file
+    and id. Ancestors are looked up apart: the ids below them, which are many, need
+    only the texts of the few distinct ancestors, and only that small table is broadcast or
+    salted. At most seven texts for an id are put together again in id order.
     """
-    lookup = Dimension(
-        texts.select(F.col("file_idx").alias("f"), F.col("item").alias("i"), "own_text"),
-        ["f", "i"], config.broadcast_bytes, config.salts,
-    )
     carried = [c for c in ids.columns if c not in KEY]
-    path = F.concat(ancestor_ids(F.col("item")), F.array("item"))
-    steps = ids.select(*ids.columns, F.posexplode(path).alias("pos", "step"))
+
+    def shown(text: Column) -> Column:
+        return F.when(F.coalesce(text, F.lit("")) == "", F.lit(" ")).otherwise(text)
+
+    steps = ids.select(*KEY, F.posexplode(ancestor_ids(F.col("item"))).alias("pos", "step"))
+    needed = steps.select("file_idx", F.col("step").alias("item")).distinct()
+    above = texts.join(needed, KEY, "left_semi").select(
+        F.col("file_idx").alias("f"), F.col("item").alias("i"), F.col("own_text").alias("text")
+    )
+    lookup = Dimension(above, ["f", "i"], config.broadcast_bytes, config.salts)
     found = lookup_join(
         steps, lookup, {"f": F.col("file_idx"), "i": F.col("step")}, "left", ["item"]
     )
-    text = F.when(F.coalesce(F.col("own_text"), F.lit("")) == "", F.lit(" ")).otherwise(
-        F.col("own_text")
+    parts = F.array_sort(F.collect_list(F.struct("pos", shown(F.col("text")).alias("text"))))
+    upper = found.groupBy(*KEY).agg(parts.alias("parts"))
+    full = F.concat(
+        F.coalesce(F.col("parts.text"), F.array().cast("array<string>")), F.array(shown(F.col("own_text")))
     )
-    parts = F.array_sort(F.collect_list(F.struct("pos", text.alias("text"))))
     return (
-        found.groupBy(*KEY)
-        .agg(parts.alias("parts"), *[F.first(c).alias(c) for c in carried])
-        .withColumn("description", ws(F.array_join(F.col("parts.text"), " | ")))
-        .drop("parts")
+        ids.join(texts, KEY, "left").join(upper, KEY, "left")
+        .select(*KEY, *carried, ws(F.array_join(full, " | ")).alias("description"))
     )
 
 

@@ -6,38 +6,43 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from levygrid.operators.stages import durable
+from levygrid.operators.stages import measured
 
 _PER_VALUE_BYTES = 16  # allowance per value on top of its text
 
 
-def text_bytes(df: DataFrame) -> DataFrame:
-    """One row: estimated in-memory bytes of a table, one distributed aggregate."""
-    width = F.lit(_PER_VALUE_BYTES * len(df.columns))
+def text_bytes(df: DataFrame) -> Column:
+    """Estimated in-memory bytes of a table, as an aggregate."""
+    width = F.lit(_PER_VALUE_BYTES * len(df.columns)).cast("bigint")
     for name in df.columns:
-        width = width + F.coalesce(F.length(df[name].cast("string")), F.lit(0)).cast("bigint")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)).cast("bigint")
+    return F.coalesce(F.sum(width), F.lit(0))
 
 
 class Dimension:
     """A look-up table that several joins use.
 
-    It is computed and written once, when the first join needs it, and measured then.
+    It is computed and written once, when the first join needs it, and measured by the
+    same job.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], broadcast_bytes: int, salts: int):
+    def __init__(self, df: DataFrame, keys: list[str], broadcast_bytes: int, salts: int | None = None):
         self.plan = df
         self.keys = keys
         self.broadcast_bytes = broadcast_bytes
         self.salts = salts
 
     @cached_property
+    def _written(self) -> tuple[DataFrame, dict]:
+        return measured(self.plan, bytes=text_bytes(self.plan))
+
+    @property
     def df(self) -> DataFrame:
-        return durable(self.plan)
+        return self._written[0]
 
-    @cached_property
+    @property
     def bytes(self) -> int:
-        return text_bytes(self.df).first()["bytes"]
+        return self._written[1]["bytes"] or 0
 
     @property
     def small(self) -> bool:
@@ -56,7 +61,8 @@ def lookup_join(
     A dimension of checked small size is broadcast, so the facts do not move. A larger
     one is joined by shuffle with both sides salted: ``spread`` names columns that
     differ between facts of equal key, so a key holding a large share of all facts is
-    divided over ``dim.salts`` tasks.
+    divided over ``dim.salts`` tasks: by default an eighth of the shuffle's partitions, which
+    grow with the data, and 16 at least.
     """
     temp = {name: f"__k_{name}" for name in keys}
     left = facts.withColumns({temp[n]: e for n, e in keys.items()})
@@ -64,9 +70,11 @@ def lookup_join(
     on = list(temp.values())
     if dim.small:
         return left.join(F.broadcast(right), on, how).drop(*on)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(dim.salts)).cast("int")
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = dim.salts or max(16, partitions // 8)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
     left = left.withColumn("__salt", salt)
     right = right.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(dim.salts - 1)))
+        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return left.join(right, [*on, "__salt"], how).drop(*on, "__salt")

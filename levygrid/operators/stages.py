@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+_SCOPE: ContextVar[str | None] = ContextVar("levygrid_scratch", default=None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -22,8 +27,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder of the current run, or else in the checkpoint folder."""
+    return f"{_SCOPE.get() or ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def measured(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """Like ``durable``, with aggregates of the rows taken while they are written."""
+    seen = Observation()
+    out = durable(df.observe(seen, *[c.alias(n) for n, c in measures.items()]))
+    return out, seen.get
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -37,16 +49,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def widened(df: DataFrame) -> DataFrame:
-    """Spread an input of fewer partitions than cores over all cores.
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that nothing reads any more."""
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
-    Only a small input has so few partitions; one of many files is returned as it is.
-    It is written once, as filters would else be pushed below the exchange and run in the
-    few tasks again.
-    """
-    parts = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if parts == 1 or parts >= cores:
-        return df
-    spread = df.repartition(min(cores, 8 * parts), *[F.col(c) for c in df.columns])
-    return spread.checkpoint(eager=True)
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Put all stages written inside into one folder and delete it at the end."""
+    folder = scratch_path(spark, "run")
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        discard(spark, folder)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,10 +13,11 @@ from levygrid.operators import codes, dimensions as D, errors, items, records, r
 from levygrid.operators import rows as row_ops
 from levygrid.operators.lookup import lookup_join
 from levygrid.operators.stages import scratch_path
+from levygrid.plans.folder_run import run_folder
 from levygrid.plans.pipeline import Run
 from levygrid.session import tuned
 from levygrid.sinks import files
-from levygrid.sources import sheets, tables
+from levygrid.sources import mappings, sheets, tables
 
 CONFIG = MatrixConfig()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,8 @@ _QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def tuned_fn(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(tuned(spark), folder)
+        # The result is executed by the caller, so the settings have to stay.
+        return fn(tuned(spark).spark, folder)
 
     _QUERIES[fn.__name__] = tuned_fn
     return fn
@@ -37,16 +38,17 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-# Look-ups are loaded once per session and folder, on first use.
-_DIMENSIONS: WeakKeyDictionary[SparkSession, dict[str, D.Dimensions]] = WeakKeyDictionary()
-
-
 def _run(spark: SparkSession, folder: str, keep: str = "none") -> Run:
     """``keep`` where more than one branch of the query reads the same stage."""
-    loaded = _DIMENSIONS.setdefault(spark, {})
-    if folder not in loaded:
-        loaded[folder] = tables.dimensions(spark, folder, CONFIG)
-    return Run(tables.rows(spark, folder), loaded[folder], CONFIG, keep)
+    dims = tables.dimensions(spark, folder, CONFIG)
+    return Run(tables.rows(spark, folder), dims, CONFIG, keep)
+
+
+def _exported(spark: SparkSession, folder: str) -> str:
+    """The sheets as CSV in a new scratch folder."""
+    path = scratch_path(spark, "sheets")
+    tables.export_sheets(spark, folder, path, CONFIG)
+    return path
 
 
 # Sources and headers
@@ -54,18 +56,18 @@ def _run(spark: SparkSession, folder: str, keep: str = "none") -> Run:
 
 @query
 def file_listing(spark, folder):
-    return tables.sheet_rows(spark, folder).select("file_idx", "file_name").distinct()
+    listing = sheets.list_sheets(spark, _exported(spark, folder))
+    return listing.select("file_idx", "file_name")
 
 
 @query
 def sheet_scan(spark, folder):
-    scanned = sheets.data_rows(tables.numbered_sheets(spark, folder, CONFIG), CONFIG)
-    cell = F.col("cells")
-    return scanned.select(
-        "file_idx", "row_idx", cell[1].alias("current_id"), cell[3].alias("level_text"),
-        cell[10].alias("admin"), cell[11].alias("business_use"),
-        cell[16].alias("personal_percent"),
-    )
+    scanned = sheets.scan_sheets(spark, _exported(spark, folder), multi_line=False)
+    scanned = sheets.data_rows(scanned, CONFIG)
+    wanted = {1: "current_id", 3: "level_text", 10: "admin", 11: "business_use", 16: "personal_percent"}
+    return scanned.select("file_idx", "row_idx", *[
+        text.blank_if_null(F.get("cells", F.lit(i))).alias(name) for i, name in wanted.items()
+    ])
 
 
 @query
@@ -74,6 +76,26 @@ def sheet_row_range(spark, folder):
     return part.select("file_idx", "row_idx", F.col("cells")[1].alias("current_id"))
 
 
+@query
+def first_header(spark, folder):
+    path = _exported(spark, folder)
+    scanned = sheets.scan_sheets(spark, path, multi_line=False)
+    found = sheets.first_header(scanned, CONFIG, sheets.list_sheets(spark, path))
+    return spark.createDataFrame(list(found.items()), "logical_name string, col_idx int")
+
+
+@query
+def missing_columns(spark, folder):
+    mapping = sheets.header_mapping(tables.header_sheets(spark, folder, CONFIG), CONFIG)
+    data = sheets.data_rows(tables.numbered_sheets(spark, folder, CONFIG), CONFIG)
+    named = sheets.named_rows_per_file(data, mapping, CONFIG)
+    return named.groupBy("file_name").agg(
+        F.count_if(F.col("personal_use") == "").alias("no_personal_use"),
+        F.count_if(F.col("admin") == "").alias("no_admin"),
+        F.count(F.lit(1)).alias("n"),
+    )
+
+
 @query
 def header_row(spark, folder):
     return sheets.header_texts(tables.header_sheets(spark, folder, CONFIG), CONFIG)
@@ -93,6 +115,13 @@ def header_mapping_first(spark, folder):
 # Dimensions
 
 
+@query
+def mapping_scan(spark, folder):
+    path = scratch_path(spark, "mappings")
+    tables.export_mappings(spark, folder, path, CONFIG)
+    return mappings.dimensions(spark, path, CONFIG).product_codes.plan
+
+
 @query
 def dim_state_geocode(spark, folder):
     return D.state_geocodes(tables.geo(spark, folder))
@@ -172,18 +201,21 @@ def parse_taxable(spark, folder):
 
 @query
 def taxable_status_legacy(spark, folder):
-    use = F.col("business_use")
+    business, personal = F.col("business_use"), F.col("personal_use")
     return tables.rows(spark, folder).select(
-        use, treatment.legacy_taxable_status(use).alias("status")
+        business, treatment.legacy_taxable_status(business).alias("business_status"),
+        personal, treatment.legacy_taxable_status(personal).alias("personal_status"),
     )
 
 
 @query
 def parse_percent(spark, folder):
-    percent = F.col("business_percent_tax")
+    business, personal = F.col("business_percent_tax"), F.col("personal_percent_tax")
     return tables.rows(spark, folder).select(
-        percent.alias("percent_text"),
-        treatment.parse_percent(percent).cast("string").alias("percent_value"),
+        business.alias("business_text"),
+        treatment.parse_percent(business).cast("string").alias("business_value"),
+        personal.alias("personal_text"),
+        treatment.parse_percent(personal).cast("string").alias("personal_value"),
     )
 
 
@@ -198,8 +230,9 @@ def format_percent(spark, folder):
 @query
 def tax_cat_code(spark, folder):
     run = _run(spark, folder)
-    coded = records.with_tax_cat(run.rows, "personal_tax_cat", "code", run.dims.tax_cats)
-    return coded.select(F.col("personal_tax_cat").alias("tax_cat_desc"), F.col("code").alias("tax_cat"))
+    coded = records.with_tax_cat(run.rows, "personal_tax_cat", "personal_code", run.dims.tax_cats)
+    coded = records.with_tax_cat(coded, "business_tax_cat", "business_code", run.dims.tax_cats)
+    return coded.select("personal_tax_cat", "personal_code", "business_tax_cat", "business_code")
 
 
 @query
@@ -308,10 +341,14 @@ def output_folder_name(spark, folder):
 # Joins
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.sheet_rows(spark, folder).select("file_idx", "file_name").distinct()
+
+
 @query
 def resolve_geocodes(spark, folder):
     run = _run(spark, folder)
-    named = row_ops.with_jurisdiction(file_listing(spark, folder))
+    named = row_ops.with_jurisdiction(_files(spark, folder))
     keys = {"jurisdiction": F.col("jurisdiction")}
     found = lookup_join(named, run.dims.locations, keys, "left", ["file_idx"])
     return found.select("file_idx", "file_name", "geocode")
@@ -322,7 +359,7 @@ def resolve_state_geocode(spark, folder):
     states = D.state_locations(
         tables.state_names(spark, folder), D.state_geocodes(tables.geo(spark, folder))
     )
-    named = row_ops.with_jurisdiction(file_listing(spark, folder))
+    named = row_ops.with_jurisdiction(_files(spark, folder))
     return named.join(states, "jurisdiction", "left").select("file_idx", "file_name", "geocode")
 
 
@@ -476,14 +513,15 @@ def product_item_update(spark, folder):
     return _run(spark, folder).items()
 
 
+def _matrix_schema() -> str:
+    return ", ".join(f"`{c}` {'int' if c == 'taxable' else 'string'}" for c in C.MATRIX_COLUMNS)
+
+
 @query
 def write_matrix(spark, folder):
     path = scratch_path(spark, "matrix_update.csv")
     files.write_csv(_run(spark, folder, keep="records").matrix(), path)
-    schema = ", ".join(
-        f"`{c}` {'int' if c == 'taxable' else 'string'}" for c in C.MATRIX_COLUMNS
-    )
-    return files.read_csv(spark, path, schema)
+    return files.read_csv(spark, path, _matrix_schema())
 
 
 @query
@@ -498,6 +536,18 @@ def write_errors(spark, folder):
     run = _run(spark, folder, keep="all")
     path = scratch_path(spark, "errors.json")
     files.write_errors(run.error_parts, run.unmapped_ids, path)
-    schema = "error_type string, file_name string, error_message string, research_id string"
-    written = spark.read.schema(schema).json(path).where(F.col("research_id").isNull())
-    return written.groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
+    schema = "error_type string, file_name string, error_message string, impact string, research_id string"
+    return spark.read.schema(schema).json(path).drop("section")
+
+
+@query
+def folder_matrix(spark, folder):
+    """A whole run over CSV files; its matrix, read back."""
+    base = scratch_path(spark, "folder")
+    tables.export_sheets(spark, folder, f"{base}/sheets", CONFIG)
+    tables.export_mappings(spark, folder, f"{base}/mappings", CONFIG)
+    found = run_folder(
+        spark, f"{base}/sheets", f"{base}/mappings", f"{base}/out", CONFIG, multi_line=False,
+        names=tables.state_names(spark, folder),
+    )
+    return files.read_csv(spark, found["matrix"], _matrix_schema())

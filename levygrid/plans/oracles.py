@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from levygrid import constants as C
+
 # Common table expressions; a query pulls in the ones it names.
 _CTES = {
     "geo": """
@@ -291,7 +293,8 @@ def _with(final: str) -> str:
                     needed.append(name)
 
     visit(final)
-    parts = ",\n".join(f"{n} AS ({_CTES[n]})" for n in needed)
+    # What a query names more than once is computed once, whatever the engine would choose.
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({_CTES[n]})" for n in needed)
     return _inline(f"WITH {parts}\n{final}" if parts else final)
 
 
@@ -308,12 +311,22 @@ def _quoted(*columns: str) -> str:
 def oracle_sql() -> dict[str, str]:
     finals = {
         # Sources and headers
-        "file_listing": "SELECT DISTINCT file_idx, file_name FROM sheets",
-        "sheet_scan": """SELECT file_idx, row_idx, c1 AS current_id, c3 AS level_text,
+        "file_listing": "SELECT DISTINCT file_name AS file_idx, file_name FROM sheets",
+        "sheet_scan": """SELECT file_name AS file_idx, row_idx, c1 AS current_id, c3 AS level_text,
             c10 AS admin, c11 AS business_use, c16 AS personal_percent FROM row_numbers""",
         "sheet_row_range": """SELECT file_idx, row_idx, c1 AS current_id FROM row_numbers
             WHERE row_idx BETWEEN 10 AND 40""",
         "header_row": "SELECT file_idx, pos, trim(text) AS header FROM header_cells",
+        "first_header": """SELECT logical_name, CAST(list_position(['', 'Current ID', 'L1', 'L2',
+                'L3', 'L4', 'L5', 'L6', 'L7', 'L8', 'Admin', 'Business Use', 'Business tax_cat',
+                'Business percent_taxable', 'Personal Use', 'Personal tax_cat',
+                'Personal percent_taxable'], header) - 1 AS INTEGER) AS col_idx
+            FROM wanted WHERE EXISTS (SELECT 1 FROM sheets)""",
+        "missing_columns": """SELECT file_name,
+                count(*) FILTER (WHERE file_idx % 5 = 2 OR personal_use = '') AS no_personal_use,
+                count(*) FILTER (WHERE admin = '') AS no_admin, count(*) AS n
+            FROM names GROUP BY file_name""",
+        "mapping_scan": "SELECT research_key, item_code FROM code_dim",
         "header_mapping": """SELECT f.file_idx, logical_name, CAST(max(pos) AS INTEGER) AS col_idx
             FROM (SELECT DISTINCT file_idx FROM sheets) f CROSS JOIN wanted
             LEFT JOIN header_cells h ON h.file_idx = f.file_idx AND trim(h.text) = header
@@ -345,21 +358,28 @@ def oracle_sql() -> dict[str, str]:
                 personal_use, __status(personal_use) AS personal_taxable,
                 upper(business_use) = 'BOGUS' AS business_unknown,
                 upper(personal_use) = 'BOGUS' AS personal_unknown FROM names""",
-        "taxable_status_legacy": """SELECT business_use, CASE business_use
+        "taxable_status_legacy": "SELECT {} FROM names".format(", ".join(
+            f"""{s}_use, CASE {s}_use
                 WHEN 'Not Taxable' THEN 0 WHEN 'Nontaxable' THEN 0 WHEN 'Exempt' THEN 0
-                WHEN 'Taxable' THEN 1 WHEN 'Drill Down' THEN -1 ELSE 1 END AS status
-            FROM names""",
-        "parse_percent": """SELECT business_pct AS percent_text,
-                CAST(__pct(business_pct) AS VARCHAR) AS percent_value FROM names""",
+                WHEN 'Taxable' THEN 1 WHEN 'Drill Down' THEN -1 ELSE 1 END AS {s}_status"""
+            for s in ("business", "personal"))),
+        "parse_percent": "SELECT {} FROM names".format(", ".join(
+            f"{s}_pct AS {s}_text, CAST(__pct({s}_pct) AS VARCHAR) AS {s}_value"
+            for s in ("business", "personal"))),
         # Halves to even by integer arithmetic on ten-millionths.
         "format_percent": """SELECT l_orderkey, (u // 1000000) || '.'
                 || lpad(CAST(u % 1000000 AS VARCHAR), 6, '0') AS percent_text
             FROM (SELECT l_orderkey, v // 10 + CASE WHEN v % 10 > 5 THEN 1
                       WHEN v % 10 = 5 THEN (v // 10) % 2 ELSE 0 END AS u
                   FROM (SELECT l_orderkey, l_orderkey * 5 AS v FROM lineitem))""",
-        "tax_cat_code": """SELECT personal_desc AS tax_cat_desc, CASE WHEN personal_desc = ''
-                THEN '00' ELSE coalesce(tax_cat, personal_desc) END AS tax_cat
-            FROM names LEFT JOIN tax_cat_dim ON tax_cat_desc = personal_desc""",
+        "tax_cat_code": """SELECT personal_desc AS personal_tax_cat,
+                CASE WHEN personal_desc = '' THEN '00' ELSE coalesce(p.tax_cat, personal_desc) END
+                    AS personal_code,
+                business_desc AS business_tax_cat,
+                CASE WHEN business_desc = '' THEN '00' ELSE coalesce(b.tax_cat, business_desc) END
+                    AS business_code
+            FROM names LEFT JOIN tax_cat_dim p ON p.tax_cat_desc = personal_desc
+            LEFT JOIN tax_cat_dim b ON b.tax_cat_desc = business_desc""",
         "jurisdiction_name": """SELECT file_name, count(*) AS n,
                 trim(replace(upper(file_name), 'SALES TAX RESEARCH', '')) AS jurisdiction,
                 CAST(NULL AS VARCHAR) AS with_year,
@@ -462,6 +482,11 @@ def oracle_sql() -> dict[str, str]:
         "product_item_update": 'SELECT "group", item, description FROM kept_items',
         "write_matrix": f"SELECT {_MATRIX} FROM coded_rec",
         "write_items": 'SELECT "group", item, description FROM kept_items',
-        "write_errors": "SELECT error_type, count(*) AS n FROM error_rows GROUP BY error_type",
+        "write_errors": f"""SELECT *, CASE WHEN error_type = '{C.ERR_UNMAPPED}'
+                THEN '{C.UNMAPPED_IMPACT.replace("'", "''")}' END AS impact,
+                CAST(NULL AS VARCHAR) AS research_id FROM error_rows
+            UNION ALL
+            SELECT '{C.ERR_UNMAPPED}', NULL, NULL, NULL, research_id FROM no_code""",
+        "folder_matrix": f"SELECT {_MATRIX} FROM coded_rec",
     }
     return {name: _with(sql) for name, sql in finals.items()}

@@ -23,7 +23,8 @@ class Run:
     ``keep`` says which stages are written once to the checkpoint folder because several
     branches read them: "none"; "records", for the outputs that all come from records;
     "all", for a run that writes every output. ``ordered`` keeps the columns that put
-    records into sheet order.
+    records into sheet order. ``listing`` has the files that could be read and have a header;
+    without it the files are those that have rows.
     """
 
     def __init__(
@@ -33,10 +34,12 @@ class Run:
         config: MatrixConfig,
         keep: str = "none",
         ordered: bool = False,
+        listing: DataFrame | None = None,
     ):
         self.dims = dims
         self.config = config
         self.ordered = ordered
+        self.listing = listing
         self._keep = durable if keep in ("records", "all") else _as_is
         self._keep_all = durable if keep == "all" else _as_is
         self._rows = rows
@@ -118,11 +121,17 @@ class Run:
         return items.unique_items(self.rows, self.dims, self.config)
 
     def batch_summary(self) -> DataFrame:
-        """Successful files, their tagged rows, records and items."""
+        """Successful files, their tagged rows, records and items. Empty sheets succeed."""
         good = items.resolved_files_only(self.rows, self.dims.locations)
         per_file = report.rows_processed(good, self.config)
+        successful = per_file.select("file_idx")
+        if self.listing is not None:
+            empty = self.listing.join(
+                self.rows.select("file_idx").distinct(), "file_idx", "left_anti"
+            )
+            successful = successful.unionByName(empty.select("file_idx"))
         return report.counters(
-            files_successful=report.count_of(per_file),
+            files_successful=report.count_of(successful),
             rows_processed=report.total_of(per_file, "rows_processed"),
             records_generated=report.count_of(self.records),
             product_items_generated=report.total_of(self.candidates, "copies"),

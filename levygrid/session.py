@@ -15,8 +15,26 @@ SETTINGS = {
 }
 
 
-def tuned(spark: SparkSession) -> SparkSession:
+class Tuned:
+    """The settings in force; a ``with`` block puts the earlier ones back at its end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.before = {name: spark.conf.get(name, None) for name in SETTINGS}
+        for name, value in SETTINGS.items():
+            spark.conf.set(name, value)
+
+    def __enter__(self) -> SparkSession:
+        return self.spark
+
+    def __exit__(self, *_: object) -> None:
+        for name, value in self.before.items():
+            if value is None:
+                self.spark.conf.unset(name)
+            else:
+                self.spark.conf.set(name, value)
+
+
+def tuned(spark: SparkSession) -> Tuned:
     """Apply the settings to a running session."""
-    for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
-    return spark
+    return Tuned(spark)

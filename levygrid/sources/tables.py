@@ -13,7 +13,6 @@ from levygrid.config import MatrixConfig
 from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.numbering import number_rows
 from levygrid.operators.rows import named_columns
-from levygrid.operators.stages import widened
 
 # Columns of the derived sheets by logical name.
 HEADER = {
@@ -155,7 +154,7 @@ def _pick(values: list[str], index: Column) -> Column:
 def sheet_cells(spark: SparkSession, folder: str) -> DataFrame:
     """One sheet row per line item: ``file_idx, file_name, ordinal`` and cells ``c0, ...``."""
     lines = (
-        widened(table(spark, folder, "lineitem").select(*ROW_ORDER))
+        table(spark, folder, "lineitem").select(*ROW_ORDER)
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
@@ -266,6 +265,38 @@ def numbered_sheets(spark: SparkSession, folder: str, config: MatrixConfig) -> D
     return header_sheets(spark, folder, config).unionByName(data)
 
 
+def export_sheets(spark: SparkSession, folder: str, path: str, config: MatrixConfig) -> None:
+    """Write the sheets as CSV, each a folder of part files, all under the first header."""
+    whole = numbered_sheets(spark, folder, config)
+    plain = F.transform(header_cells(), lambda c, i: F.when(i == 1, "Current ID").when(i == 9, "L8")
+                        .when(i == 14, "Personal Use").otherwise(c))
+    cells = F.when(F.col("row_idx") == config.header_row, plain).otherwise(F.col("cells"))
+    (
+        whole.withColumn("cells", cells).withColumn("sheet", F.concat("file_name", F.lit(".csv")))
+        .repartitionByRange("sheet", "row_idx").sortWithinPartitions("sheet", "row_idx")
+        .select("sheet", *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(len(HEADER) + 9)])
+        .write.partitionBy("sheet")
+        .options(quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
+
+
+def export_mappings(spark: SparkSession, folder: str, path: str, config: MatrixConfig) -> None:
+    """Write the mapping tables as CSV, in their order."""
+    blank = F.lit("")
+    files = {
+        config.geo_file: geo(spark, folder).select(
+            "ordinal", "geocode", "state", blank.alias("county"), "city", blank.alias("tax_district"), "jurisdiction"),
+        config.tax_cat_file: tax_cats(spark, folder).select("ordinal", "tax_cat", "tax_cat_desc"),
+        config.tax_type_file: tax_types(spark, folder).select("ordinal", "geocode", "tax_cat", "tax_type"),
+        config.product_code_file: product_codes(spark, folder).select(
+            "ordinal", "research_id", blank.alias("taxonomy_id"), blank.alias("product_id"),
+            F.lit("7777").alias("group"), "item", blank.alias("description")),
+    }
+    for name, df in files.items():
+        df.orderBy("ordinal").drop("ordinal").write.csv(f"{path}/{name}", header=True, quoteAll=True)
+
+
 def rows(spark: SparkSession, folder: str) -> DataFrame:
     return named_columns(sheet_cells(spark, folder), HEADER)
 

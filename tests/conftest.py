@@ -16,5 +16,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield tuned(session)
+    tuned(session)
+    yield session
     session.stop()

@@ -3,7 +3,6 @@
 from pyspark.sql import Window as W, functions as F
 
 from levygrid.operators.numbering import number_rows
-from levygrid.operators.stages import widened
 
 
 def test_numbers_match_a_plain_window(spark):
@@ -22,10 +21,3 @@ def test_equal_rows_of_one_group_spread_over_partitions(spark):
     got = number_rows(rows, ["g"], [F.col("x")], "n")
     assert got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()[:] == (1, 40_000, 40_000)
 
-
-def test_widening_keeps_rows(spark):
-    two = spark.range(0, 1000, 1, 2)
-    wide = widened(two)
-    assert wide.rdd.getNumPartitions() == 4 and wide.count() == 1000
-    many = spark.range(0, 1000, 1, 16)
-    assert widened(many) is many
