@@ -110,3 +110,23 @@ UNMAPPED_IMPACT = (
 # Sample sizes quoted in error messages.
 MISSING_TYPE_SAMPLE = 5
 REPLICATION_SAMPLE = 10
+
+# Texts of error messages.
+MSG_FILE = "Could not determine geocode(s) for filename: {file}"
+MSG_HEADER = "No headers found in the sheet at row {row}"
+MSG_UNKNOWN_STATUS = (
+    "Unknown taxable value '{text}' (normalized: '{upper}'). "
+    "Known values: {known}. Uncertain values (skipped): {uncertain}"
+)
+MSG_NO_TAX_TYPE = (
+    "No tax types found for geocode='{geocode}', tax_cat='{tax_cat}' - excluded {n} records "
+    "from output. Affected items: {items}"
+)
+MSG_REPLICATION = (
+    "City geocode '{geocode}' has {n} records but no matching state-level tax treatments found "
+    "for parent geocode '{parent}'. Affected records: groups={groups}, items=[{items}], "
+    "customers={customers}"
+)
+MSG_UNMAPPED = (
+    "{n} research_ids could not be mapped to product codes and were excluded from output files"
+)

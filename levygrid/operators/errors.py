@@ -5,6 +5,8 @@ All error tables share the columns ``error_type, file_name, error_message``.
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from levygrid import constants as C
@@ -39,6 +41,17 @@ def with_rest(sample: Column, count: Column, n: int) -> Column:
     return F.concat(sample, F.when(count > n, rest).otherwise(F.lit("")))
 
 
+def filled(template: str, **values: Column | str) -> Column:
+    """A message text with its places filled in."""
+    parts = []
+    for text, name, _, _ in Formatter().parse(template):
+        parts.append(F.lit(text))
+        if name:
+            value = values[name]
+            parts.append(F.lit(value) if isinstance(value, str) else value.cast("string"))
+    return F.concat(*parts)
+
+
 def _error(df: DataFrame, kind: str, file_name: Column, message: Column) -> DataFrame:
     return df.select(
         F.lit(kind).alias("error_type"),
@@ -57,9 +70,7 @@ def failed_files(rows: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def file_errors(rows: DataFrame, dims: Dimensions) -> DataFrame:
-    message = F.concat(
-        F.lit("Could not determine geocode(s) for filename: "), F.col("file_name")
-    )
+    message = filled(C.MSG_FILE, file=F.col("file_name"))
     return _error(failed_files(rows, dims), C.ERR_FILE, F.col("file_name"), message)
 
 
@@ -69,10 +80,8 @@ def unknown_status_errors(
     known = str(C.NOT_TAXABLE_TEXTS + C.TAXABLE_TEXTS)
     uncertain = str(C.UNCERTAIN_TEXTS)
     text = F.col("status_text")
-    message = F.concat(
-        F.lit("Unknown taxable value '"), text,
-        F.lit("' (normalized: '"), F.upper(text),
-        F.lit(f"'). Known values: {known}. Uncertain values (skipped): {uncertain}"),
+    message = filled(
+        C.MSG_UNKNOWN_STATUS, text=text, upper=F.upper(text), known=known, uncertain=uncertain
     )
     return _error(
         unknown_statuses(rows, dims, config), C.ERR_UNKNOWN_STATUS, F.col("file_name"), message
@@ -91,12 +100,9 @@ def missing_tax_types(misses: DataFrame) -> DataFrame:
 
 def missing_tax_type_errors(misses: DataFrame) -> DataFrame:
     n = F.col("n")
-    message = F.concat(
-        F.lit("No tax types found for geocode='"), F.col("geocode"),
-        F.lit("', tax_cat='"), F.col("tax_cat"),
-        F.lit("' - excluded "), n.cast("string"),
-        F.lit(" records from output. Affected items: "),
-        with_rest(F.col("sample"), n, C.MISSING_TYPE_SAMPLE),
+    message = filled(
+        C.MSG_NO_TAX_TYPE, geocode=F.col("geocode"), tax_cat=F.col("tax_cat"), n=n,
+        items=with_rest(F.col("sample"), n, C.MISSING_TYPE_SAMPLE),
     )
     return _error(
         missing_tax_types(misses), C.ERR_NO_TAX_TYPE, F.col("file_name"), message
@@ -124,33 +130,19 @@ def replication_errors(misses: DataFrame) -> DataFrame:
     def quoted(values: str) -> Column:
         return F.concat(F.lit("['"), F.array_join(F.col(values), "', '"), F.lit("']"))
 
-    message = F.concat(
-        F.lit("City geocode '"), F.col("geocode"),
-        F.lit("' has "), F.col("n").cast("string"),
-        F.lit(" records but no matching state-level tax treatments found for parent geocode '"),
-        F.col("parent"),
-        F.lit("'. Affected records: groups="), quoted("groups"),
-        F.lit(", items=["), with_rest(F.col("sample"), F.col("items"), C.REPLICATION_SAMPLE),
-        F.lit("], customers="), quoted("customers"),
+    message = filled(
+        C.MSG_REPLICATION, geocode=F.col("geocode"), n=F.col("n"), parent=F.col("parent"),
+        groups=quoted("groups"), customers=quoted("customers"),
+        items=with_rest(F.col("sample"), F.col("items"), C.REPLICATION_SAMPLE),
     )
     return _error(
         city_summary(misses), C.ERR_REPLICATION, F.lit(None).cast("string"), message
     )
 
 
-def unmapped_message(count: Column) -> Column:
-    return F.concat(
-        count.cast("string"),
-        F.lit(
-            " research_ids could not be mapped to product codes"
-            " and were excluded from output files"
-        ),
-    )
-
-
 def unmapped_errors(unmapped: DataFrame) -> DataFrame:
     """One summary row if any id is unmapped; the ids themselves are a table of their own."""
     total = unmapped.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
     return _error(
-        total, C.ERR_UNMAPPED, F.lit(None).cast("string"), unmapped_message(F.col("n"))
+        total, C.ERR_UNMAPPED, F.lit(None).cast("string"), filled(C.MSG_UNMAPPED, n=F.col("n"))
     )

@@ -50,7 +50,7 @@ def test_legacy_status(spark):
         ("1.0", "1.000000"), ("8.75", "8.750000"), ("150%", "1.500000"), ("1e-2", "0.010000"),
         ("1_0%", "0.100000"), ("-5%", "-0.050000"), (".5", "0.500000"), ("%5%", "0.050000"),
         ("0.0000005", "0.000000"), ("0.0000015", "0.000002"), ("0.0000025", "0.000002"),
-        ("", None), ("%", None), ("invalid", None), ("invalid%", None), ("1,5", None),
+        ("", None), ("%", None), ("n/a", None), ("none%", None), ("1,5", None),
     ],
 )
 def test_percent(spark, given, expected):

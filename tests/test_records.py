@@ -42,13 +42,13 @@ def sides(spark, business, personal):
         (("TAXABLE", G, "0.0000001"), ("TAXABLE", G, "0"),
          [("0B", 1, "01", "0.000000"), ("99", 1, "01", "0.000000")]),
         # One valid side.
-        (("TAXABLE", "Software", "8.75%"), ("TO RESEARCH", "Unknown", "50%"),
+        (("TAXABLE", "Software", "8.75%"), ("TO RESEARCH", "Gadgets", "50%"),
          [("0B", 1, "Software", "0.087500")]),
-        (("DRILL DOWN", "x", "invalid%"), ("EXEMPT", "", "0%"), [("99", 0, "00", "0.000000")]),
+        (("DRILL DOWN", "x", "none%"), ("EXEMPT", "", "0%"), [("99", 0, "00", "0.000000")]),
         (("TAXABLE", G, "bad"), ("TAXABLE", G, "1"), [("99", 1, "01", "1.000000")]),
         (("TAXABLE", G, "1"), ("", "", ""), [("0B", 1, "01", "1.000000")]),
         # None.
-        (("TO RESEARCH", "x", "invalid%"), ("DRILL DOWN", "y", "bad_percent"), []),
+        (("TO RESEARCH", "x", "none%"), ("DRILL DOWN", "y", "n/a"), []),
         (("", G, "1"), ("", G, "1"), []),
     ],
 )
