@@ -24,9 +24,9 @@ _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 #: Endings that the splitting pattern detaches with their apostrophe.
 _ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 
-_CHUNK = 1 << 20
-_SLOTS = 1 << 22
-_ENTRIES = 1 << 20
+_CHUNK = 1 << 18
+_SLOTS = 1 << 21
+_ENTRIES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 

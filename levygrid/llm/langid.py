@@ -20,7 +20,7 @@ SAMPLE_ROWS = 10_000
 #: The matrix of log probabilities never takes more bytes than this.
 MODEL_BYTES = 64 << 20
 #: Characters scored at once.
-_STEP = 1 << 19
+_STEP = 1 << 17
 
 
 @functools.cache

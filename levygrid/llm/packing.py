@@ -17,7 +17,9 @@ CAPACITY = 1024
 END_OF_DOCUMENT = 0
 #: Rests of documents that are packed together; bounds a task's memory.
 BLOCK = 1 << 16
-_TEXT_BYTES = 4 << 20
+#: Ids held at a time, some thousand windows' worth.
+HELD_IDS = 1 << 22
+_TEXT_BYTES = 1 << 20
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -129,9 +131,9 @@ def pack(
     ``vocabulary`` is the file of a byte-level BPE tokenizer, which every executor must be
     able to open. A document's ids end with id 0; a null or empty text is that id alone. Overlong
     documents are cut into full windows; what remains is packed best-fit decreasing
-    among the ``block`` documents read together. Nothing is shuffled: a task packs what it reads
-    and numbers its sequences after its partition, so a repeated task gives the same
-    rows and a hot key means nothing. At most ``2 * block`` windows' worth of ids is held at a time.
+    among the documents read together, ``block`` or ``HELD_IDS`` ids of them. Nothing is
+    shuffled: a task packs what it reads and numbers its sequences after its partition, so a
+    repeated task gives the same rows and a hot key means nothing.
     A null id stays null; repeated rows are packed each. Other columns of ``df`` are not read.
     """
 
@@ -149,7 +151,7 @@ def pack(
                 document = np.append(tokens, np.uint32(END_OF_DOCUMENT)).astype("<u4")
                 documents.append(document)
                 held += len(document)
-            if len(documents) >= block or held >= block * capacity // 4:
+            if len(documents) >= block or held >= HELD_IDS:
                 out, used = _pack(ids, documents, first, capacity)
                 yield out
                 first, ids, documents, held = first + used, [], [], 0
