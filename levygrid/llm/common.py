@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from levygrid.operators.stages import scratch_path
+from levygrid.operators.stages import discard, scratch_path
 
 #: Words are runs of characters other than ASCII white space.
 SPACE_CLASS = "[ \\t-\\r]"
@@ -46,20 +46,20 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.tables: list[tuple[DataFrame, str]] = []
 
     def write(self, df: DataFrame, name: str = "llm") -> DataFrame:
         """Write ``df`` and read it back: lineage ends here, and readers prune columns."""
         path = scratch_path(self.spark, name)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.tables.append((out, path))
         return out
 
     def drop(self, df: DataFrame) -> None:
         """Delete the files of a table that ``write`` returned."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard(self.spark, *[path for table, path in self.tables if table is df])
+        self.tables = [(table, path) for table, path in self.tables if table is not df]
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: int, limit: int) -> Iterator[pa.RecordBatch]:

@@ -153,21 +153,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .groupBy("node").agg(F.min("root").alias("near"))
         )
         spread = scratch.write(
-            labels.join(near, "node")
-            .select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+            labels.select("node", F.col("root").alias("old"))
+            .join(near, "node").select("node", "old", F.least("old", "near").alias("root"))
         )
         up = spread.select(F.col("node").alias("root"), F.col("root").alias("upper"))
-        jumped = scratch.write(
+        scratch.drop(labels)
+        labels = scratch.write(
             spread.join(up, "root").select("node", "old", F.least("root", "upper").alias("root"))
         )
-        changed = jumped.where(F.col("old") != F.col("root")).limit(1).count()
         scratch.drop(spread)
-        scratch.drop(labels)
-        scratch.paths[id(following := jumped.drop("old"))] = scratch.paths.pop(id(jumped))
-        labels = following
-        if not changed:
+        if not labels.where(F.col("old") != F.col("root")).limit(1).count():
             scratch.drop(both)
-            return labels
+            return labels.select("node", "root")
 
 
 def classes(prints: DataFrame, id_col: str, fp: str, scratch: Scratch) -> DataFrame:
