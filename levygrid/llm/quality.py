@@ -28,6 +28,8 @@ class Rules:
     max_repeat_percent: int = 20
     max_symbol_percent: int = 10
     max_dup_line_percent: int = 30
+    #: Fewer repeated lines are never a failure: in a text of three lines one is a third.
+    min_dup_lines: int = 3
     min_word_chars: int = 3
     max_word_chars: int = 10
     #: A rule is enforced at hosts with at least this shrunk failure rate.
@@ -115,7 +117,8 @@ def failures(m: dict[str, Column], rules: Rules) -> dict[str, Column]:
         "base": (words < rules.min_words)
         | (100 * m["n_repeat_words"] > rules.max_repeat_percent * words),
         "symbols": 100 * m["n_symbols"] > rules.max_symbol_percent * words,
-        "lines": 100 * m["n_dup_lines"] > rules.max_dup_line_percent * m["n_lines"],
+        "lines": (m["n_dup_lines"] >= rules.min_dup_lines)
+        & (100 * m["n_dup_lines"] > rules.max_dup_line_percent * m["n_lines"]),
         "length": (m["word_chars"] < rules.min_word_chars * words)
         | (m["word_chars"] > rules.max_word_chars * words),
     }
