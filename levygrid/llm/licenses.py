@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,16 +34,6 @@ def _words(text: str) -> list[str]:
     return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
 
 
-def tagged_bigrams(words: list[str]) -> list[str]:
-    """Bigrams with their occurrence number, so that sets of them count repeats."""
-    seen: Counter = Counter()
-    out = []
-    for a, b in zip(words, words[1:]):
-        seen[a, b] += 1
-        out.append(f"{a} {b} {seen[a, b]}")
-    return out
-
-
 def size_bounds(size: int, percent: int = THRESHOLD_PERCENT) -> tuple[int, int]:
     """Bigram counts with which ``size`` bigrams can reach the threshold.
 
@@ -57,27 +46,71 @@ def template_table(df: DataFrame, templates: list[tuple[str, str]], percent: int
     """A row for each template and each number of bigrams it can be compared with."""
     rows = []
     for license_id, text in templates:
-        grams = tagged_bigrams(_words(text))
-        low, high = size_bounds(len(grams), percent)
-        rows += [(n, license_id, grams) for n in range(max(1, low), high + 1)]
-    return df.sparkSession.createDataFrame(rows, "n int, license_id string, template array<string>")
+        words = _words(text)
+        low, high = size_bounds(len(words) - 1, percent)
+        rows.append((license_id, " ".join(words), max(1, low), high))
+    table = df.sparkSession.createDataFrame(rows, "license_id string, words string, low int, high int")
+    return table.select(
+        "license_id", bigrams(F.col("words")).alias("template"), F.explode(F.sequence("low", "high")).alias("n")
+    )
 
 
-def _tagged(words: Column) -> Column:
-    """``tagged_bigrams`` of an array column; only made for passages of a template's size."""
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", words[i], words[i + 1])
-    )
-    return let(pairs, lambda p: F.transform(p, lambda g, i: F.concat_ws(
-        " ", g, F.size(F.filter(F.slice(p, 1, i + 1), lambda other: other == g)).cast("string")
-    )))
+def bigrams(passage: Column) -> Column:
+    """64-bit hashes of a passage's bigrams, with the number of the occurrence in them.
+
+    So sets of them count repeats. Passages without a repeated bigram, nearly all, need
+    no count.
+    """
+    def tagged(pairs: Column) -> Column:
+        def occurrence(g: Column, i: Column) -> Column:
+            return F.xxhash64(g, F.size(F.filter(F.slice(pairs, 1, i + 1), lambda other: other == g)))
+
+        plain = F.transform(pairs, lambda g: F.xxhash64(g, F.lit(1)))
+        return F.when(F.size(F.array_distinct(pairs)) == F.size(pairs), plain).otherwise(
+            F.transform(pairs, occurrence)
+        )
+
+    def hashed(words: Column) -> Column:
+        pairs = F.transform(
+            F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.xxhash64(words[i], words[i + 1])
+        )
+        return let(pairs, tagged)
+
+    return let(F.split(passage, " "), hashed)
+
+
+def normalised(text: Column) -> Column:
+    """Words of a-z and 0-9, lower-cased, one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]++", " "))
 
 
 def passages(text: Column) -> Column:
-    """Distinct passages of a text: its lines, its paragraphs and the whole."""
-    text = F.coalesce(text, F.lit(""))
-    parts = F.array_union(F.split(text, "\n[ \t\r]*\n"), F.array(text))
-    return F.array_union(F.split(text, "\n"), parts)
+    """Distinct normalised passages of a text: its lines, its paragraphs and the whole.
+
+    Every line is normalised once; paragraphs (between blank lines) and the whole are
+    joined from the lines. Nested lambdas keep each array from being computed again.
+    """
+    def joined(words: Column) -> Column:
+        return F.array_join(F.array_remove(words, ""), " ")
+
+    def paragraphs(lines: Column, words: Column) -> Column:
+        def blank(i: Column) -> Column:
+            return F.length(F.trim(F.get(lines, i), F.lit(" \t\r"))) == 0
+
+        starts = F.filter(
+            F.transform(lines, lambda _, i: F.when(~blank(i) & F.coalesce(blank(i - 1), F.lit(True)), i)),
+            lambda i: i.isNotNull(),
+        )
+        return let(starts, lambda s: F.transform(s, lambda at, k: joined(F.slice(
+            words, at + 1, F.coalesce(F.get(s, k + 1), F.size(lines)) - at
+        ))))
+
+    def parts(lines: Column) -> Column:
+        return let(F.transform(lines, normalised), lambda words: F.array_union(
+            words, F.array_union(paragraphs(lines, words), F.array(joined(words)))
+        ))
+
+    return let(F.split(F.coalesce(text, F.lit("")), "\n"), parts)
 
 
 def matches(
@@ -86,21 +119,38 @@ def matches(
 ) -> DataFrame:
     """(doc_id, passage, license_id, dice): passages that reach the threshold with a template.
 
-    A passage is lower-cased, and all but a-z and 0-9 separates words. Its number of
-    bigrams selects the templates whose size bounds admit it, by an equi-join with
-    a broadcast table of a few hundred rows that doesn't depend on the data; only then are bigrams
-    made and compared. A licence with several templates counts once, with the best of them.
+    At least 2 n / 3 of a passage's n bigrams must be a template's (at 0.8), and k different
+    words that no template has spoil k bigrams or more, so passages with too many such words
+    are dropped first. The number of a passage's bigrams selects the templates whose size bounds admit it:
+    passages beyond all bounds are dropped before rows are made of them, the others
+    are equi-joined with a broadcast table of a few hundred rows that doesn't depend on the
+    data. A licence with several templates counts
+    once, with the best of them.
     """
     table = template_table(df, templates, percent)
-    words = F.trim(F.regexp_replace(F.lower("passage"), "[^a-z0-9]++", " "))
-    blanks = F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit("")))
+    sizes = [len(_words(t)) - 1 for _, t in templates]
+    low, high = max(1, size_bounds(min(sizes), percent)[0]), size_bounds(max(sizes), percent)[1]
+
+    def sized(words: Column) -> Column:
+        blanks = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit("")))
+        return F.struct(words.alias("passage"), blanks.cast("int").alias("n"))
+
+    known = F.array(*[F.lit(w) for w in sorted({w for _, t in templates for w in _words(t)})])
+
+    def possible(p: Column) -> Column:
+        strange = F.size(F.array_except(F.split(p["passage"], " "), known))
+        return p["n"].between(low, high) & (strange * (200 - percent) <= p["n"] * (200 - 2 * percent))
+
+    fitting = F.transform(
+        F.filter(F.transform(passages(F.col(text_col)), sized), possible),
+        lambda p: F.struct(p["passage"].alias("passage"), p["n"].alias("n"), bigrams(p["passage"]).alias("grams")),
+    )
     shared = F.size(F.array_intersect("grams", "template"))
     dice = 2 * shared / (F.size("grams") + F.size("template"))
     return (
-        df.select(F.col(id_col).alias("doc_id"), F.explode(passages(F.col(text_col))).alias("passage"))
-        .withColumn("words", words).withColumn("n", blanks.cast("int"))
+        df.select(F.col(id_col).alias("doc_id"), F.explode(fitting).alias("p"))
+        .select("doc_id", "p.*")
         .join(F.broadcast(table), "n")
-        .withColumn("grams", _tagged(F.split("words", " ")))
         .withColumn("dice", dice).where(100 * F.col("dice") >= percent)
         .groupBy("doc_id", "passage", "license_id").agg(F.max("dice").alias("dice"))
     )

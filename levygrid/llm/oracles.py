@@ -26,7 +26,7 @@ m AS MATERIALIZED (
     LEFT JOIN rep USING (doc_id)),
 f AS MATERIALIZED (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base,
-           100 * n_symbols > 10 * n_words AS symbols, 100 * n_dup_lines > 30 * n_lines AS lines,
+           100 * n_symbols > 10 * n_words AS symbols, n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines AS lines,
            word_chars < 3 * n_words OR word_chars > 10 * n_words AS size
     FROM m),
 h AS (
@@ -103,7 +103,8 @@ p AS (
         string_split(x, chr(10)), string_split_regex(x, '\n[ \t\r]*\n'), [x]))) AS passage
     FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS x FROM documents)),
 q AS MATERIALIZED (
-    SELECT DISTINCT doc_id, passage, w FROM (SELECT doc_id, passage, {_NORMAL.format("passage")} AS w FROM p)
+    SELECT DISTINCT doc_id, array_to_string(w, ' ') AS passage, w
+    FROM (SELECT doc_id, {_NORMAL.format("passage")} AS w FROM p)
     WHERE len(w) BETWEEN 2 AND (SELECT 2 * max(n) FROM tb)),
 qb AS (
     SELECT doc_id, passage, len(w) - 1 AS n, w[i] || ' ' || w[i+1] AS g, count(*) AS c

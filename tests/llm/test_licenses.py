@@ -25,7 +25,8 @@ def brute(rows):
     out = {}
     for i, text, *_ in rows:
         text = text or ""
-        for p in {text, *text.split("\n"), *re.split(r"\n[ \t\r]*\n", text)}:
+        parts = {text, *text.split("\n"), *re.split(r"\n[ \t\r]*\n", text)}
+        for p in {" ".join(licenses._words(p)) for p in parts}:
             a = grams(p)
             best = {}
             for name, t in licenses.TEMPLATES:
