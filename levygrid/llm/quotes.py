@@ -119,26 +119,30 @@ def depths(places: DataFrame) -> DataFrame:
     """(__row, depth): replies between a message and the first of its conversation.
 
     Every round doubles the length of the jumps towards the root, so the number of
-    rounds is the logarithm of the longest chain; each is written to the shared folder.
+    rounds is the logarithm of the longest chain. Messages that have arrived take no part in
+    later rounds but as targets; so short conversations cost no more because one is long. Every
+    round is written to the shared folder.
     """
     scratch = Scratch(places.sparkSession)
     # A large conversation spreads over tasks, as the joins' keys have the place in it.
-    jumps = places.select(
-        "__row", "key", "n",
-        F.coalesce("parent", F.lit(0)).alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
-    )
-    jumps = scratch.write(jumps)
-    while jumps.where(F.col("up") > 0).limit(1).count():
-        upper = jumps.select("key", F.col("n").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        following = scratch.write(
-            jumps.join(upper, ["key", "up"], "left").select(
-                "__row", "key", "n", F.coalesce("further", F.lit(0)).alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+    jumps = scratch.write(places.select(
+        "__row", "key", "n", F.coalesce("parent", F.lit(0)).alias("up"),
+        F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+    ))
+    arrived = jumps.where(F.col("up") == 0)
+    moving = jumps.where(F.col("up") > 0)
+    while moving.limit(1).count():
+        upper = arrived.unionByName(moving).select(
+            "key", F.col("n").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more")
+        )
+        moved = scratch.write(
+            moving.join(upper, ["key", "up"]).select(
+                "__row", "key", "n", F.col("further").alias("up"), (F.col("depth") + F.col("more")).alias("depth")
             )
         )
-        scratch.drop(jumps)
-        jumps = following
-    return jumps.select("__row", "depth")
+        arrived = arrived.unionByName(moved.where(F.col("up") == 0))
+        moving = moved.where(F.col("up") > 0)
+    return arrived.select("__row", "depth")
 
 
 def conversations(
