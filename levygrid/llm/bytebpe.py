@@ -4,8 +4,8 @@ The tokenizer splits a text into pieces (a word with the blank before it, a numb
 of signs or of white space) and merges bytes inside a piece only. Pieces repeat,
 so a task finds their bounds for a whole batch at once, hashes them to 64 bits, and looks
 the ids up in a table; only pieces not met before are merged. Texts with anything whose
-character class could differ between Unicode versions, or with a special token's string,
-go through the tokenizer itself, so the ids are always the tokenizer's.
+character class could differ between Unicode versions, with a special token's string, or
+with more different pieces than the table holds, go through the tokenizer itself, so the ids are always the tokenizer's.
 """
 
 from __future__ import annotations
@@ -149,6 +149,9 @@ class Encoder:
         unsure = np.concatenate(([0], np.cumsum(classes == _UNSURE)))
         slow = unsure[ends] > unsure[starts]
         slow |= np.array([any(s in t for s in self.special) for t in texts])
+        if slow.any():
+            fast = iter(self._encode([t for t, s in zip(texts, slow) if not s]))
+            return [self._slow(t) if s else next(fast) for t, s in zip(texts, slow)]
         first = np.zeros(len(points), bool)
         first[starts[starts < len(points)]] = True
         begin = np.flatnonzero(piece_starts(points, classes, first))
@@ -159,6 +162,8 @@ class Encoder:
         if len(missing):
             new, where = np.unique(hashes[missing], return_index=True)
             where = missing[where]
+            if self.entries + len(new) > len(self.keys) // 2:
+                return self._crowded(texts)
             spans = zip(begin[where].tolist(), end[where].tolist())
             self._insert(new, [self.merge(joined[a:b]) for a, b in spans])
             found[missing] = self._lookup(hashes[missing])
@@ -171,12 +176,19 @@ class Encoder:
         left = bounds[np.searchsorted(begin, starts)]
         right = bounds[np.searchsorted(begin, ends)]
         out = [tokens[a:b] for a, b in zip(left.tolist(), right.tolist())]
-        for i in np.flatnonzero(slow):
-            out[i] = self._slow(texts[i])
         if self.entries > _ENTRIES:
             self._clear()
         return out
 
+    def _crowded(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts with more new pieces than the table has room for."""
+        if self.entries:
+            self._clear()
+            return self._encode(texts)
+        if len(texts) > 1:
+            return [ids for t in texts for ids in self._encode([t])]
+        return [self._slow(texts[0])]
+
     def _hashes(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of pieces, as differences of running sums of characters times powers."""
         n = len(points)
@@ -215,8 +227,6 @@ class Encoder:
         self.counts[new] = lengths
         self.offsets[new] = self.used + np.cumsum(lengths) - lengths
         self.ids[self.used : self.used + size] = [i for piece in ids for i in piece]
-        if self.entries + len(ids) > len(self.keys) // 2:
-            raise MemoryError("a batch has too many different pieces")
         mask = np.uint64(_SLOTS - 1)
         pending, slot = np.arange(len(hashes)), hashes & mask
         while len(pending):

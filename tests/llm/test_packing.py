@@ -36,6 +36,16 @@ def test_table_is_cleared(encoder, monkeypatch):
         assert encoder.encode([t])[0].tolist() == plain(encoder, t)
 
 
+def test_more_pieces_than_the_table_holds(monkeypatch):
+    monkeypatch.setattr(bytebpe, "_SLOTS", 64)
+    monkeypatch.setattr(bytebpe, "_ENTRIES", 16)
+    encoder = bytebpe.Encoder(vocabulary())
+    many = " ".join(f"id{i * 7919}" for i in range(200))
+    texts = ["a b c", many, "d e f", many + " 日", "g h", " ".join(f"x{chr(97 + i)}" for i in range(20))]
+    for group in [texts, texts[::-1], [many], [" ".join(texts[5:]), "a b c d e f g h i j k l m n"]]:
+        assert [x.tolist() for x in encoder.encode(group)] == [plain(encoder, t) for t in group]
+
+
 def slow_best_fit(lengths, capacity):
     """Decreasing lengths, each to the window with the least room that is enough."""
     rooms, fill = [], []
