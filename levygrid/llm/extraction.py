@@ -14,9 +14,17 @@ from levygrid.llm.boosting import Trees, fit
 from levygrid.llm.common import slices
 from levygrid.llm.htmldom import HINTS, Nodes
 
-#: About so many pages, of at most so many bytes each, supply training texts and labels.
+#: At most so many pages, of about so many bytes together, supply training texts and labels.
 SAMPLE_PAGES = 300
-SAMPLE_BYTES = 64 << 10
+SAMPLE_BYTES = 16 << 20
+#: Texts to compose pages of if the sample has none.
+PLAIN_TEXTS = [
+    "The council met on Tuesday to talk about the new bridge, which is to open in the spring after two years of work and many delays.",
+    "Most of the people who live near the river said that they had not been asked, but that they would use it to walk to the market.",
+    "In the north the rain came early this year, so farmers had to bring in the wheat before it was ripe and sell it for less than before.",
+    "She wrote four books about the history of the town, and the last of them tells how the old mill was built, burned down and built again.",
+    "To make the soup, cut the onions into small pieces, fry them in oil until they are soft, add water and salt, and let it boil for an hour.",
+]
 #: Pages that are composed for training from texts of the sampled pages.
 COMPOSED_PAGES = 450
 #: Nodes that the trees are fitted on, at most; taken evenly.
@@ -131,16 +139,16 @@ def train(pages: list[str]) -> Trees:
     """Fit on pages with a landmark and on pages composed of the pages' texts.
 
     Inside a landmark, nodes whose names say that they are something else have no label.
-    Deterministic for the same pages. Without any text all nodes are dropped.
+    Deterministic for the same pages. Without any text pages are composed of fixed ones.
     """
     texts = []
     for page in pages:
         nodes = Nodes()
         nodes.add_page(0, page)
         texts += [t for t in nodes.text if t.count(" ") >= 8]
-    composer = Composer(texts or ["no text"])
+    composer = Composer(texts or PLAIN_TEXTS)
     marked = [p for p in map(_labelled, pages) if p]
-    composed = [composer.page() for _ in range(COMPOSED_PAGES)] if texts else []
+    composed = [composer.page() for _ in range(COMPOSED_PAGES)]
     nodes = Nodes()
     for i, source in enumerate(marked):
         nodes.add_page(i, source)
@@ -148,8 +156,6 @@ def train(pages: list[str]) -> Trees:
     nodes.label = [-1 if y == 1 and a & junk else y for y, a in zip(nodes.label, nodes.above)]
     for i, source in enumerate(composed, len(marked)):
         nodes.add_page(i, source)
-    if not nodes.page:
-        return fit(np.zeros((0, 1), np.float32), np.zeros(0))
     y = nodes.targets()
     known = np.flatnonzero(y >= 0)
     known = known[:: max(1, -(-len(known) // TRAINING_NODES))]
@@ -165,12 +171,28 @@ def extract(pages: list[str], trees: Trees) -> list[str]:
 
 
 def fit_on(pages: DataFrame, html_col: str = "html") -> Trees:
-    """Train on the driver on a sample of bounded number and size, taken by hash."""
+    """Train on the driver on the different pages of least hash, bounded by number and bytes.
+
+    A page counts whatever its size, so with larger pages there are fewer; of a first one
+    beyond the bound, its beginning is taken.
+    """
     rows = pages.select(F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    n = rows.count()
-    at = F.pmod(F.xxhash64("html"), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.where((at < SAMPLE_PAGES / max(1, n)) & (F.octet_length("html") <= SAMPLE_BYTES))
-    return train(sorted(r["html"] for r in sample.limit(2 * SAMPLE_PAGES).collect()))
+    rows = rows.withColumn("at", F.xxhash64("html"))
+    sizes = (
+        rows.select("at", F.octet_length("html").alias("size"))
+        .groupBy("at").agg(F.max("size").alias("size")).orderBy("at").limit(SAMPLE_PAGES).collect()
+    )
+    chosen, held = [], 0
+    for r in sizes:
+        if chosen and held + r["size"] > SAMPLE_BYTES:
+            break
+        chosen.append(r["at"])
+        held += r["size"]
+    sample = (
+        rows.where(F.col("at").isin(chosen)).withColumn("html", F.substring("html", 1, SAMPLE_BYTES))
+        .groupBy("at").agg(F.min("html").alias("html"))
+    )
+    return train(sorted(r["html"] for r in sample.collect()))
 
 
 def main_texts(

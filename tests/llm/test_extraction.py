@@ -97,6 +97,22 @@ def test_odd_rows(spark, trees):
     assert extraction.main_texts(frame, extraction.fit_on(frame)).count() == 5
 
 
+def test_large_pages_only(spark, monkeypatch):
+    draw = random.Random(5)
+    texts = [" ".join(prose(draw, 40) for _ in range(400)) for _ in range(6)]
+    rows = [(i, "u", f"<nav><a>Home</a></nav><article><p>{t}</p></article><footer>&copy; site</footer>") for i, t in enumerate(texts)]
+    assert min(len(r[2]) for r in rows) > 64 << 10
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for bound in (16 << 20, 1 << 17, 1 << 10):
+        monkeypatch.setattr(extraction, "SAMPLE_BYTES", bound)
+        got = {r["page_id"]: r["text"] for r in extraction.main_texts(frame, extraction.fit_on(frame)).collect()}
+        assert [got[i] for i in range(6)] == texts
+
+
+def test_sample_without_texts():
+    assert extraction.extract([PAGE], extraction.train(["<p>a"]))[0].startswith("Big & title First bold text")
+
+
 def test_boosting_learns():
     draw = np.random.default_rng(1)
     x = draw.normal(size=(3000, 5)).astype(np.float32)
