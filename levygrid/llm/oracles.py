@@ -168,10 +168,43 @@ LEFT JOIN x ON v.n = x.n AND v.conv_id IS NOT DISTINCT FROM x.conv_id
 """
 
 
+_TERMS = (
+    r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+_LEXICAL = f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(text="coalesce(text, '')")} AS w FROM documents),
+c AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+i AS MATERIALIZED (
+    SELECT q, item_id, term, count(*)::BIGINT AS k
+    FROM (SELECT q, item_id, unnest(w) AS term FROM (
+        SELECT row_number() OVER () AS q, item_id, {_TERMS.format(text="coalesce(text, '')")} AS w FROM benchmark))
+    GROUP BY q, item_id, term),
+f AS MATERIALIZED (
+    SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+    WHERE term IN (SELECT term FROM i) GROUP BY r, doc_id, n, term),
+s AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+    FROM f, c GROUP BY term, docs),
+p AS (
+    SELECT q, item_id, r, doc_id,
+           sum(k * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+    FROM f JOIN s USING (term) JOIN i USING (term), c GROUP BY q, item_id, r, doc_id),
+o AS (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_license_scan": _LICENSES,
         "op3_quality_rules": _QUALITY,
         "op9_source_mixing": _MIXING,
         "op10_quotation_linking": _QUOTES,
+        "op12_lexical_search": _LEXICAL,
     }

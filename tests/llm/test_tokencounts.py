@@ -1,0 +1,77 @@
+import random
+
+import pytest
+import sentencepiece
+
+from levygrid.llm import queries, tokencounts
+from tests.llm.frames import LONG, ROWS, documents, rows_of
+
+MODEL = queries.vocabulary("piece_bpe_32k.model")
+SIGNS = [*" \n\t\r▁aabte123.,'_-", "  ", "é", "é", "中", "　", "\xa0", "\x00", "<s>", "</s>", "<0x0A>",
+         "ing", " the", "​", "🙂", "ﬁ", "Ⅷ"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    return lambda text: len(model.encode(text))
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return tokencounts.PieceCounter(MODEL)
+
+
+def texts(seed, count):
+    draw = random.Random(seed)
+    for _ in range(count):
+        yield "".join(draw.choice(SIGNS) for _ in range(draw.randint(0, 30)))
+
+
+@pytest.mark.parametrize("chunk, long, cached", [(1 << 20, 1 << 14, 1 << 19), (7, 5, 3), (1, 1, 0)])
+def test_counts_add_up(monkeypatch, library, counter, chunk, long, cached):
+    monkeypatch.setattr(tokencounts, "_CHUNK", chunk)
+    monkeypatch.setattr(tokencounts, "_LONG", long)
+    assert counter.splits and counter.guard == "\n"
+    lengths = tokencounts.Lengths(counter, {" the": 1, "\nab": counter.length("\nab")}, cached)
+    for text in texts(chunk, 4000):
+        assert lengths.count(text) == library(text), repr(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 50_000, "ab" * 40_000, "中文" * 30_000, " " * 70_000, "\n" * 40_000, LONG])
+def test_very_long(library, counter, text):
+    assert tokencounts.Lengths(counter, {}).count(text) == library(text)
+
+
+def test_models_that_do_not_add_up(library):
+    other = tokencounts.PieceCounter(MODEL)
+    other.pieces = [*other.pieces, "a▁b"]
+    other.splits = other._splits()
+    assert not other.splits
+    assert tokencounts.Lengths(other, {}).count("a  b") == library("a  b")
+
+
+def test_packed_table():
+    table = {" the": 1, "\nü中": 4, "   x": 2}
+    assert tokencounts.unpacked(tokencounts.packed(table)) == table
+    assert tokencounts.unpacked(tokencounts.packed({})) == {}
+
+
+def test_odd_rows(spark, library):
+    got = rows_of(tokencounts.token_counts(documents(spark), MODEL), "doc_id", "n_bytes", "n_tokens", "over_limit")
+    want = []
+    for i, text, _, _ in ROWS:
+        n = library(text or "")
+        want.append((i, len((text or "").encode()), n, n > 4096))
+    assert got == sorted(want, key=repr)
+    assert tokencounts.token_counts(documents(spark, []), MODEL).count() == 0
+
+
+def test_the_table_changes_no_count(spark, library):
+    rows = [(i, t, None, None) for i, t in enumerate(texts(5, 300))] + [(1000, LONG * 3, None, None)]
+    frame = documents(spark, rows)
+    table = tokencounts.frequent(frame, MODEL, entries=50)
+    assert 0 < len(table) <= 50
+    for share in (table, {}):
+        got = frame.select("doc_id", tokencounts.token_count(frame, MODEL, share).alias("n"))
+        assert rows_of(got, "doc_id", "n") == sorted(((i, library(t)) for i, t, _, _ in rows), key=repr)
