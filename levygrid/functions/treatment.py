@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from levygrid import constants as C
+from levygrid.functions import percent
 
 
 def _codes(texts: dict[str, int]) -> Column:
@@ -38,19 +39,10 @@ def legacy_taxable_status(text: Column) -> Column:
 
 
 def parse_percent(text: Column) -> Column:
-    """Decimal fraction: '8.75%' and '0.0875' are equal; null when unreadable.
-
-    The scales are chosen so that the hundredth keeps every digit: (34,18) times
-    (2,2) is (37,20).
-    """
-    plain = F.replace(text, F.lit("_"), F.lit(""))
-    percent = F.replace(plain, F.lit("%"), F.lit("")).try_cast("decimal(34,18)")
-    hundredth = F.lit("0.01").cast("decimal(2,2)")
-    return F.when(F.contains(text, F.lit("%")), percent * hundredth).otherwise(
-        plain.try_cast("decimal(37,20)")
-    )
+    """The stated number, exactly; null when unreadable. See ``percent.parse``."""
+    return percent.parse(text)
 
 
 def format_percent(value: Column) -> Column:
-    """Text with six decimals, halves rounded to even (a decimal cast rounds them up)."""
-    return F.bround(value, 6).cast("decimal(37,6)").cast("string")
+    """Text of a parsed percent with six decimals, halves rounded to even."""
+    return percent.formatted(value, 6)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from levygrid import constants as C
 from levygrid.config import LOGICAL_COLUMNS, MatrixConfig
+from levygrid.functions import percent
 from levygrid.functions.treatment import (
     format_percent,
     is_unknown_status,
@@ -59,8 +60,8 @@ def parsed_sides(rows: DataFrame, config: MatrixConfig, tax_cats: Dimension) ->
 
 def same_treatment() -> Column:
     """Both sides valid and equal in status, category and percent (as numbers)."""
-    equal = F.lit(True)
-    for part in ("taxable", "code", "percent"):
+    equal = percent.equal(F.col("business_percent"), F.col("personal_percent"))
+    for part in ("taxable", "code"):
         equal = equal & (F.col(f"business_{part}") == F.col(f"personal_{part}"))
     return F.col("business_valid") & F.col("personal_valid") & equal
 

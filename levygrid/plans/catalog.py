@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from levygrid import constants as C
 from levygrid.config import MatrixConfig
-from levygrid.functions import ids, text, treatment
+from levygrid.functions import ids, percent, text, treatment
 from levygrid.operators import codes, dimensions as D, errors, items, records, replicate, report
 from levygrid.operators import rows as row_ops
 from levygrid.operators.lookup import lookup_join
@@ -213,9 +213,9 @@ def parse_percent(spark, folder):
     business, personal = F.col("business_percent_tax"), F.col("personal_percent_tax")
     return tables.rows(spark, folder).select(
         business.alias("business_text"),
-        treatment.parse_percent(business).cast("string").alias("business_value"),
+        percent.formatted(percent.parse(business), 20).alias("business_value"),
         personal.alias("personal_text"),
-        treatment.parse_percent(personal).cast("string").alias("personal_value"),
+        percent.formatted(percent.parse(personal), 20).alias("personal_value"),
     )
 
 
@@ -223,7 +223,7 @@ def parse_percent(spark, folder):
 def format_percent(spark, folder):
     value = F.col("l_orderkey").cast("decimal(20,0)") * F.lit("0.0000005").cast("decimal(7,7)")
     return tables.table(spark, folder, "lineitem").select(
-        "l_orderkey", treatment.format_percent(value).alias("percent_text")
+        "l_orderkey", treatment.format_percent(percent.parse(value.cast("string"))).alias("percent_text")
     )
 
 

@@ -1,9 +1,12 @@
 """Scalar expressions, case by case."""
 
+import decimal
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from levygrid.functions import ids, text, treatment
+from levygrid.functions import ids, percent, text, treatment
 
 
 def values(spark, expression, inputs):
@@ -58,12 +61,52 @@ def test_percent(spark, given, expected):
     assert got == [expected]
 
 
-def test_percent_keeps_eighteen_decimals(spark):
-    a, b = values(
-        spark, lambda c: treatment.parse_percent(c).cast("string"),
-        ["0.123456789012345678%", "0.00123456789012345678"],
-    )
-    assert a == b == "0.00123456789012345678"
+def number(text):
+    """What decimal arithmetic makes of a percent text; None if it is none."""
+    try:
+        value = decimal.Decimal(text.replace("%", ""))
+        return value / 100 if "%" in text else value
+    except decimal.InvalidOperation:
+        return None
+
+
+def percent_texts():
+    draw = random.Random(8)
+    out = [
+        "0.123456789012345678%", "0.00123456789012345678", "812345678901234567890123456789%", "1e-25%", "-0", "-0%",
+        "0e5", "1e-5000", "9" * 40, "9" * 40 + "%", "99999999999999999999999999995%", "0.9999995", "0.99999950001",
+        "-0.0000005", "-0.0000004", "12345678901.5", "1" * 28 + "5%", "1" * 27 + "25%", "1e40%", "00012.500", ".", "e5",
+        "1e", "+5%", "+-5", "1 2", "0x1", "1e10001", "1e1234567890", "5" + "0" * 30 + "%", "0." + "0" * 30 + "7",
+    ]
+    for _ in range(400):
+        digits = "".join(draw.choice("0059") if draw.random() < 0.7 else draw.choice("12345678") for _ in range(draw.randint(1, 36)))
+        at = draw.randint(0, len(digits))
+        text = draw.choice(["", "", "-", "+"]) + digits[:at] + draw.choice(["", "."]) + digits[at:]
+        out.append(text + draw.choice(["", "", f"e{draw.randint(-40, 12)}"]) + draw.choice(["", "%"]))
+    return out
+
+
+def test_percents_are_exact(spark):
+    texts = percent_texts()
+    got = values(spark, lambda c: treatment.format_percent(treatment.parse_percent(c)), texts)
+    for text, found in zip(texts, got):
+        value = number(text)
+        if value is not None and value.adjusted() >= percent.MAX_DIGITS:
+            value = None
+        assert found == (None if value is None else f"{value:.6f}"), text
+
+
+def test_percents_are_compared_exactly(spark):
+    texts = percent_texts()[:120] + ["8.75%", "0.0875", "0.087500", "875e-4", "0", "0.0%"]
+    known = [(t, number(t)) for t in texts]
+    known = [(t, v) for t, v in known if v is not None and v.adjusted() < percent.MAX_DIGITS]
+    pairs = [(a, b, x == y) for a, x in known for b, y in known]
+    frame = spark.createDataFrame(pairs, "a string, b string, same boolean")
+    found = percent.equal(percent.parse(F.col("a")), percent.parse(F.col("b")))
+    wrong = frame.where(~found.eqNullSafe(F.col("same"))).collect()
+    assert wrong == [] and sum(p[2] for p in pairs) > len(known)
+    none = spark.range(1).select(percent.equal(percent.parse(F.lit("x")), percent.parse(F.lit("1"))).alias("e"))
+    assert none.first()["e"] is None
 
 
 def test_jurisdiction_name(spark):
