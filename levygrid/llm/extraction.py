@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from levygrid.llm.boosting import Trees, fit
 from levygrid.llm.common import slices
-from levygrid.llm.htmldom import HINTS, Nodes
+from levygrid.llm.htmldom import HINTS, MARK, Nodes
 
 #: At most so many pages, of about so many bytes together, supply training texts and labels.
 SAMPLE_PAGES = 300
@@ -85,7 +85,7 @@ class Composer:
         tag = semantic or draw.choice(["div", "section", "div"])
         # Without a telling tag, a telling name, but for what its shape gives away.
         plain = 0.6 if semantic or group in ("nav", "footer") else 0.0
-        return f'<{tag}{self._name(group, plain)} data-y="0">{inner}</{tag}>'
+        return f'<{tag}{self._name(group, plain)} {MARK}="0">{inner}</{tag}>'
 
     def _article(self) -> str:
         draw = self.draw
@@ -109,7 +109,7 @@ class Composer:
             parts.insert(len(parts) if group == "comment" else draw.randint(1, len(parts)), self._junk(group))
         tag = draw.choice(["article", "article", "main", "div", "section"])
         plain = 0.5 if tag in ("article", "main") else 0.25
-        out = f'<{tag}{self._name("main", plain)} data-y="1">{"".join(parts)}</{tag}>'
+        out = f'<{tag}{self._name("main", plain)} {MARK}="1">{"".join(parts)}</{tag}>'
         return f"<div{self._name('main', 0.7)}>{out}</div>" if draw.random() < 0.3 else out
 
     def page(self) -> str:
@@ -131,7 +131,7 @@ def _labelled(page: str) -> str | None:
     """A page with one ``article`` (or ``main``) marked as the main text and all else as not."""
     for tag in ("article", "main"):
         if page.count(f"<{tag}") == 1:
-            return f'<div data-y="0">{page.replace(f"<{tag}", f"<{tag} data-y=\"1\"")}</div>'
+            return f'<div {MARK}="0">{page.replace(f"<{tag}", f"<{tag} {MARK}=\"1\"")}</div>'
     return None
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+import uuid
+from collections import Counter
 
 import numpy as np
 
@@ -11,13 +13,18 @@ _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*+>", re.S
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: The attribute that labels composed pages for training. No page can know its name.
+MARK = f"y-{uuid.uuid4().hex}"
+_ATTRIBUTE = re.compile(rf"(class|id|role|{MARK})\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_TAIL = re.compile(r"<!--.*\Z|<[!?/a-zA-Z][^<]*\Z", re.S)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_RAW = frozenset("script style title noscript template textarea iframe svg math object canvas".split())
+_RAW = frozenset("script style title noscript template textarea iframe svg canvas".split())
+#: Of these an element that is never closed ends at once, instead of taking the rest of the page.
+_LOOSE = frozenset("noscript template iframe svg canvas".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math mi mn mo mrow ms mtext object".split()
 )
 #: An element here is closed by the start of one of its set.
 _CLOSES = {
@@ -90,17 +97,22 @@ class Nodes:
         links = 0
         gap = True
         at, end = 0, len(source)
+        final = source.rfind(">")
+        opened: Counter[str] = Counter()
         lower = None
+        absent: set[str] = set()
 
         def close(to: int) -> None:
             nonlocal links
             while len(stack) > to:
                 node, name, _ = stack.pop()
                 self.last[node] = len(self.page) - 1
+                opened[name] -= 1
                 links -= name == "a"
 
         while at < end:
-            match = _TAG.search(source, at)
+            # Behind the last bracket there is no tag, and no use in trying every "<".
+            match = _TAG.search(source, at) if at <= final else _TAIL.search(source, at)
             stop = match.start() if match else end
             if stop > at:
                 text = source[at:stop]
@@ -114,6 +126,8 @@ class Nodes:
             if not match:
                 break
             at = match.end()
+            if match.re is _TAIL:
+                break
             name = match[2] or match[5]
             if not name:
                 continue
@@ -121,6 +135,8 @@ class Nodes:
             block = name not in _INLINE
             gap = True if block else gap
             if match[1] or match[4]:
+                if opened[name] <= 0:
+                    continue
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][1] == name:
                         close(i)
@@ -130,8 +146,11 @@ class Nodes:
             if name in _RAW and not attributes.endswith("/"):
                 if lower is None:
                     lower = source.lower()
-                found = lower.find(f"</{name}", at)
-                at = end if found < 0 else source.find(">", found) + 1 or end
+                found = -1 if name in absent else lower.find(f"</{name}", at)
+                if found >= 0 or name not in _LOOSE:
+                    at = end if found < 0 else source.find(">", found) + 1 or end
+                else:
+                    absent.add(name)
                 continue
             if name in _VOID or name in ("html", "head", "body"):
                 continue
@@ -152,13 +171,14 @@ class Nodes:
             if "=" in attributes:
                 for key, *values in _ATTRIBUTE.findall(attributes):
                     value = values[0] or values[1] or values[2]
-                    if key == "data-y":
+                    if key == MARK:
                         label = int(value)
                         continue
                     for word in _TOKEN.findall(value):
                         own |= _BIT.get(word.lower(), 0)
             node = self._add(page, parent, len(stack), name, own, "", False, False, label, children, previous)
             stack.append((node, name, label))
+            opened[name] += 1
             links += name == "a"
         close(0)
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -120,3 +121,36 @@ def test_boosting_learns():
     trees = boosting.fit(x[:2000], y[:2000])
     assert ((trees.score(x[2000:]) > 0) == y[2000:]).mean() > 0.95
     assert (boosting.fit(x, np.ones(3000)).score(x) > 0).all()
+
+
+@pytest.mark.parametrize("attribute", ['data-y="12.5"', 'data-y=""', "data-y=x", "data-y", "y-0=1"])
+def test_pages_cannot_label_themselves(trees, attribute):
+    body = f"<article><p>{LONG[:400]}</p></article>"
+    page = f"<body {attribute}><div {attribute}><p {attribute}>x</p></div>{body}</body>"
+    nodes = Nodes()
+    nodes.add_page(0, page)
+    assert set(nodes.label) == {-1}
+    extraction.train([page, page.replace("<", "&lt;")])
+    assert extraction.extract([page], trees)[0].endswith(LONG[:400].strip())
+
+
+@pytest.mark.parametrize("open_", ["<canvas>", "<svg>", "<object>", "<math>", "<noscript>", "<template>", "<iframe>"])
+def test_unclosed_elements_swallow_nothing(open_):
+    nodes = Nodes()
+    nodes.add_page(0, f"<p>before {open_}</p><p>behind</p>" * 2)
+    assert [t.strip() for t in nodes.text if t] == ["before", "behind"] * 2
+
+
+def test_closed_elements():
+    nodes = Nodes()
+    nodes.add_page(0, "<p>so <math><mi>E</mi> = m</math> <svg><text>no</text></svg> <object>and</object></p><!-- x <b")
+    assert " ".join(nodes.text).split() == ["so", "E", "=", "m", "and"]
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<div>" * 5000 + "</span>" * 100_000 + "x", "<svg>" * 150_000, "a<" * 400_000, "<!--" * 200_000,
+])
+def test_broken_markup_takes_linear_time(page):
+    start = time.process_time()
+    Nodes().add_page(0, page)
+    assert time.process_time() - start < 20
