@@ -44,10 +44,10 @@ def _run(spark: SparkSession, folder: str, keep: str = "none") -> Run:
     return Run(tables.rows(spark, folder), dims, CONFIG, keep)
 
 
-def _exported(spark: SparkSession, folder: str) -> str:
+def _exported(spark: SparkSession, folder: str, line_breaks: bool = False) -> str:
     """The sheets as CSV in a new scratch folder."""
     path = scratch_path(spark, "sheets")
-    tables.export_sheets(spark, folder, path, CONFIG)
+    tables.export_sheets(spark, folder, path, CONFIG, line_breaks)
     return path
 
 
@@ -70,6 +70,30 @@ def sheet_scan(spark, folder):
     ])
 
 
+@query
+def sheet_scan_line_breaks(spark, folder):
+    """Rows whose cells hold line breaks, from files that are split anywhere."""
+    found = sheets.scan(spark, _exported(spark, folder, line_breaks=True))
+    return sheets.data_rows(found.rows, CONFIG).select(
+        "file_idx", "row_idx", *[
+            text.blank_if_null(F.get("cells", F.lit(i))).alias(name)
+            for i, name in {1: "current_id", 3: "level_text", 16: "personal_percent"}.items()
+        ]
+    )
+
+
+@query
+def sheet_account(spark, folder):
+    """What was read of every sheet: the state of its files, and its rows."""
+    found = sheets.scan(spark, _exported(spark, folder, line_breaks=True))
+    states = found.parts.groupBy("file_name").agg(
+        F.array_join(F.array_sort(F.collect_set("state")), ",").alias("state"),
+        (F.sum("bytes_read") == F.sum("size")).alias("all_bytes"),
+    )
+    rows = found.rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return states.join(rows, "file_name", "left")
+
+
 @query
 def sheet_row_range(spark, folder):
     part = sheets.row_range(tables.numbered_sheets(spark, folder, CONFIG), 10, 40)

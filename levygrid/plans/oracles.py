@@ -314,6 +314,11 @@ def oracle_sql() -> dict[str, str]:
         "file_listing": "SELECT DISTINCT file_name AS file_idx, file_name FROM sheets",
         "sheet_scan": """SELECT file_name AS file_idx, row_idx, c1 AS current_id, c3 AS level_text,
             c10 AS admin, c11 AS business_use, c16 AS personal_percent FROM row_numbers""",
+        "sheet_scan_line_breaks": """SELECT file_name AS file_idx, row_idx, c1 AS current_id,
+            CASE WHEN row_idx % 3 = 0 THEN c3 || chr(10) || '"' || c1 || '",' ELSE c3 END AS level_text,
+            c16 AS personal_percent FROM row_numbers""",
+        "sheet_account": """SELECT file_name, 'read' AS state, true AS all_bytes, count(*) + 4 AS n_rows
+            FROM row_numbers GROUP BY file_name""",
         "sheet_row_range": """SELECT file_idx, row_idx, c1 AS current_id FROM row_numbers
             WHERE row_idx BETWEEN 10 AND 40""",
         "header_row": "SELECT file_idx, pos, trim(text) AS header FROM header_cells",

@@ -265,12 +265,24 @@ def numbered_sheets(spark: SparkSession, folder: str, config: MatrixConfig) -> D
     return header_sheets(spark, folder, config).unionByName(data)
 
 
-def export_sheets(spark: SparkSession, folder: str, path: str, config: MatrixConfig) -> None:
-    """Write the sheets as CSV, each a folder of part files, all under the first header."""
+def export_sheets(
+    spark: SparkSession, folder: str, path: str, config: MatrixConfig, line_breaks: bool = False
+) -> None:
+    """Write the sheets as CSV, each a folder of part files, all under the first header.
+
+    With ``line_breaks`` the description of every third data row goes over two lines, the
+    second with quotes and a comma.
+    """
     whole = numbered_sheets(spark, folder, config)
     plain = F.transform(header_cells(), lambda c, i: F.when(i == 1, "Current ID").when(i == 9, "L8")
                         .when(i == 14, "Personal Use").otherwise(c))
     cells = F.when(F.col("row_idx") == config.header_row, plain).otherwise(F.col("cells"))
+    if line_breaks:
+        broken = F.transform("cells", lambda c, i: F.when(
+            i == 3, F.concat(c, F.lit('\n"'), F.get("cells", F.lit(1)), F.lit('",'))
+        ).otherwise(c))
+        third = (F.col("row_idx") > config.header_row) & (F.col("row_idx") % 3 == 0)
+        cells = F.when(third, broken).otherwise(cells)
     (
         whole.withColumn("cells", cells).withColumn("sheet", F.concat("file_name", F.lit(".csv")))
         .repartitionByRange("sheet", "row_idx").sortWithinPartitions("sheet", "row_idx")
