@@ -2,17 +2,46 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SCOPE: ContextVar[str | None] = ContextVar("levygrid_scratch", default=None)
 
 
+@dataclass
+class Manifest:
+    """The stages of a resumable run, in the order in which a run with its key writes them.
+
+    A stage is finished once Spark's committer has left its mark. Only finished stages count,
+    so that attempts that failed don't shift those behind them.
+    """
+
+    spark: SparkSession
+    folder: str
+    finished: int = 0
+    reused: int = 0
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        shape = hashlib.sha256(df.schema.json().encode()).hexdigest()[:16]
+        path = f"{self.folder}/{self.finished:03d}-{shape}"
+        if exists(self.spark, f"{path}/_SUCCESS"):
+            self.reused += 1
+        else:
+            df.write.mode("overwrite").parquet(path)
+        self.finished += 1
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+_MANIFEST: ContextVar[Manifest | None] = ContextVar("levygrid_manifest", default=None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private one only in local mode."""
     sc = spark.sparkContext
@@ -26,6 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ensure_checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder itself; Spark's own checkpoint folder in it is new in each session."""
+    own = ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or own
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder of the current run, or else in the checkpoint folder."""
     return f"{_SCOPE.get() or ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -33,6 +68,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def measured(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     """Like ``durable``, with aggregates of the rows taken while they are written."""
+    if _MANIFEST.get():
+        out = durable(df)
+        found = out.agg(*[c.alias(n) for n, c in measures.items()])
+        return out, found.first().asDict()
     seen = Observation()
     out = durable(df.observe(seen, *[c.alias(n) for n, c in measures.items()]))
     return out, seen.get
@@ -44,11 +83,18 @@ def durable(df: DataFrame) -> DataFrame:
     The table survives the loss of executors and cuts the lineage like a checkpoint; being
     columnar it also lets every reader skip the columns it does not need.
     """
+    if manifest := _MANIFEST.get():
+        return manifest.stage(df)
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete tables that nothing reads any more."""
     for path in paths:
@@ -66,3 +112,21 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
     finally:
         _SCOPE.reset(token)
         discard(spark, folder)
+
+
+@contextmanager
+def resumable_scope(spark: SparkSession, key: str) -> Iterator[Manifest]:
+    """Like ``scratch_scope``, but a run that fails leaves its finished stages behind.
+
+    ``key`` stands for all that decides the contents of the stages. The next run with the
+    same key reads those stages instead of computing them, and deletes them when it ends well.
+    """
+    folder = f"{ensure_checkpoint_root(spark)}/resume-{key}"
+    manifest = Manifest(spark, folder)
+    scope, token = _SCOPE.set(folder), _MANIFEST.set(manifest)
+    try:
+        yield manifest
+    finally:
+        _SCOPE.reset(scope)
+        _MANIFEST.reset(token)
+    discard(spark, folder)
