@@ -3,9 +3,11 @@
 The tokenizer splits a text into pieces (a word with the blank before it, a number, a run
 of signs or of white space) and merges bytes inside a piece only. Pieces repeat,
 so a task finds their bounds for a whole batch at once, hashes them to 64 bits, and looks
-the ids up in a table; only pieces not met before are merged. Texts with anything whose
-character class could differ between Unicode versions, with a special token's string, or
-with more different pieces than the table holds, go through the tokenizer itself, so the ids are always the tokenizer's.
+the ids up in a table; only pieces not met before are merged. The table keeps the pieces, and every
+piece found is compared with its entry, so no result rests on a hash. Texts with anything whose
+character class could differ between Unicode versions, with a special token's string, with a piece
+that hashes like another one, or with more different pieces than the table holds, go through the
+tokenizer itself, so the ids are always the tokenizer's.
 """
 
 from __future__ import annotations
@@ -119,7 +121,10 @@ class Encoder:
         self.offsets = np.zeros(_ENTRIES * 2, np.int64)
         self.counts = np.zeros(_ENTRIES * 2, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.entries = self.used = 0
+        self.places = np.zeros(_ENTRIES * 2, np.int64)
+        self.lengths = np.zeros(_ENTRIES * 2, np.int64)
+        self.pieces = np.zeros(1 << 16, np.uint16)
+        self.entries = self.used = self.written = 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -164,9 +169,11 @@ class Encoder:
             where = missing[where]
             if self.entries + len(new) > len(self.keys) // 2:
                 return self._crowded(texts)
-            spans = zip(begin[where].tolist(), end[where].tolist())
+            spans = list(zip(begin[where].tolist(), end[where].tolist()))
+            self._keep(points, begin[where], end[where])
             self._insert(new, [self.merge(joined[a:b]) for a, b in spans])
             found[missing] = self._lookup(hashes[missing])
+        unlike = self._unlike(found, points, begin, end)
         counts = self.counts[found].astype(np.int64)
         after = np.cumsum(counts)
         total = int(after[-1])
@@ -176,6 +183,8 @@ class Encoder:
         left = bounds[np.searchsorted(begin, starts)]
         right = bounds[np.searchsorted(begin, ends)]
         out = [tokens[a:b] for a, b in zip(left.tolist(), right.tolist())]
+        for i in np.unique(np.searchsorted(ends, begin[unlike], side="right")).tolist():
+            out[i] = self._slow(texts[i])
         if self.entries > _ENTRIES:
             self._clear()
         return out
@@ -215,6 +224,33 @@ class Encoder:
             pending, slot = pending[further], (slot[further] + np.uint64(1)) & mask
         return out
 
+    def _keep(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Keep the characters of the pieces that the next entries stand for."""
+        lengths = end - begin
+        after = np.cumsum(lengths)
+        size, count = int(after[-1]), len(lengths)
+        while self.written + size > len(self.pieces):
+            self.pieces = np.concatenate([self.pieces, np.zeros_like(self.pieces)])
+        while self.entries + count > len(self.places):
+            self.places = np.concatenate([self.places, np.zeros_like(self.places)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        at = np.arange(size) + np.repeat(begin - (after - lengths), lengths)
+        self.pieces[self.written : self.written + size] = points[at]
+        new = slice(self.entries, self.entries + count)
+        self.lengths[new] = lengths
+        self.places[new] = self.written + after - lengths
+        self.written += size
+
+    def _unlike(self, found: np.ndarray, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces that differ from the entry found for their hash."""
+        lengths = end - begin
+        wrong = self.lengths[found] != lengths
+        at = np.arange(len(points)) + np.repeat(self.places[found] - begin, lengths)
+        same = self.pieces.take(at, mode="clip") == points
+        if not same.all():
+            wrong |= np.logical_or.reduceat(~same, begin)
+        return np.flatnonzero(wrong)
+
     def _insert(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
         size = sum(map(len, ids))
         while self.used + size > len(self.ids):

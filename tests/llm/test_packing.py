@@ -46,6 +46,27 @@ def test_more_pieces_than_the_table_holds(monkeypatch):
         assert [x.tolist() for x in encoder.encode(group)] == [plain(encoder, t) for t in group]
 
 
+def doubling(n, first="a", second="b"):
+    """The doubling pattern over two letters, on which polynomials modulo a power of two collide."""
+    return "".join(second if bin(i).count("1") % 2 else first for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_that_hash_alike(n):
+    texts = [doubling(n), doubling(n, "b", "a"), f"x {doubling(n)} y {doubling(n, 'b', 'a')}", "plain words"]
+    encoder = bytebpe.Encoder(vocabulary())
+    for group in [texts, texts[::-1], *[[t] for t in texts]]:
+        assert [x.tolist() for x in encoder.encode(group)] == [plain(encoder, t) for t in group]
+
+
+def test_ids_rest_on_no_hash(monkeypatch):
+    monkeypatch.setattr(bytebpe.Encoder, "_hashes", lambda self, points, begin, end: (end - begin).astype(np.uint64) % np.uint64(3) + np.uint64(1))
+    encoder = bytebpe.Encoder(vocabulary())
+    texts = ["one two three", "", "four five", "one", "it's 9!", " a", "a"]
+    for group in [texts, texts[::-1]]:
+        assert [x.tolist() for x in encoder.encode(group)] == [plain(encoder, t) for t in group]
+
+
 def slow_best_fit(lengths, capacity):
     """Decreasing lengths, each to the window with the least room that is enough."""
     rooms, fill = [], []
