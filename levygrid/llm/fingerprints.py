@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,13 @@ from levygrid.llm.common import slices
 SAMPLES = 64
 SEED = 42
 _BASE = 0x9E3779B97F4A7C15
+_PRIME = (1 << 31) - 1
+_BASES = [1_203_459_911, 764_082_217]
+#: Words are hashed in blocks of this size; words from ``_LONG`` bytes on by a digest.
+_BLOCK = 1 << 18
+_LONG = 1 << 12
+_WHITE = [bytes([c]) for c in (*range(9, 14), 32)]
+_WHITE_SPACE = re.compile(rb"[ \t-\r]")
 _GROUP = 1 << 20
 _TERMS = 1024
 _LEAST = -(1 << 63)
@@ -48,15 +56,22 @@ def _tables() -> dict[str, np.ndarray]:
         "b1": draw.random(part).astype(np.float32),
         "b2": draw.random(part).astype(np.float32),
         "c": np.log(draw.standard_gamma(2.0, whole)).astype(np.float32),
-        "byte": draw.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1),
+        "byte": draw.integers(1, _PRIME, 256, np.uint64),
     }
 
 
 @functools.lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    out = np.full((2, n), [[_BASE], [pow(_BASE, -1, 1 << 64)]], np.uint64)
-    out[:, 0] = 1
-    return np.cumprod(out[0]), np.cumprod(out[1])
+    """Powers of the two bases and of their inverses, modulo ``_PRIME``, by doubling."""
+    out = np.ones((2, len(_BASES), n), np.uint64)
+    for i, bases in enumerate((_BASES, [pow(b, -1, _PRIME) for b in _BASES])):
+        for j, base in enumerate(bases):
+            done = 1
+            while done < n:
+                more = min(done, n - done)
+                out[i, j, done : done + more] = out[i, j, :more] * np.uint64(pow(base, done, _PRIME)) % np.uint64(_PRIME)
+                done += more
+    return out[0], out[1]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -64,26 +79,70 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def weighted_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, 40-bit hash and weight of each term, by document and hash."""
-    data = np.frombuffer(b" ".join([t.lower() for t in texts]) + b" ", np.uint8)
-    lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    word = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edges = np.flatnonzero(np.diff(word, prepend=False))
+def _digest(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word: two polynomials modulo a prime; digests of long words."""
+    raw = np.frombuffer(data, np.uint8)
+    word = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
     start, end = edges[::2], edges[1::2]
-    powers, inverses = _powers(1 << len(data).bit_length())
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_tables()["byte"][data] * powers[: len(data)], out=sums[1:])
-    hashes = (sums[end] - sums[start]) * inverses[start]
-    hashes = _mixed(hashes + (end - start).astype(np.uint64))
-    owner = np.searchsorted(np.cumsum(lengths), start, side="right").astype(np.uint64)
-    keys = np.sort((owner << np.uint64(40)) | (hashes >> np.uint64(24)))
-    first = np.flatnonzero(np.diff(keys, prepend=np.uint64(0)) != 0) if len(keys) else np.zeros(0, np.int64)
-    if len(keys) and keys[0] == 0:
-        first = np.concatenate(([0], first))
-    weight = np.diff(np.append(first, len(keys)))
-    keys = keys[first]
-    return (keys >> np.uint64(40)).astype(np.int64), keys & np.uint64((1 << 40) - 1), weight
+    if len(raw) > _BLOCK:  # a single word
+        return start, np.array([_digest(data[start[0] : end[0]])], np.uint64)
+    powers, inverses = _powers(_BLOCK)
+    prime, values = np.uint64(_PRIME), _tables()["byte"][raw]
+    hashes = np.zeros(len(start), np.uint64)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    for power, inverse in zip(powers, inverses):
+        # Below 2**32 after one fold, so the sums of a block can't overflow.
+        product = values * power[: len(raw)]
+        np.cumsum((product & prime) + (product >> np.uint64(31)), out=sums[1:])
+        part = (sums[end] - sums[start]) % prime * inverse[start] % prime
+        hashes = (hashes << np.uint64(31)) | part
+    hashes = _mixed(_mixed(hashes) + (end - start).astype(np.uint64) * np.uint64(_BASE))
+    for i in np.flatnonzero(end - start >= _LONG).tolist():
+        hashes[i] = _digest(data[start[i] : end[i]])
+    return start, hashes
+
+
+def _blocks(data: bytes) -> Iterator[tuple[int, int]]:
+    """Bounds of blocks that end at white space; a word longer than a block is one of its own."""
+    at = 0
+    while at < len(data):
+        end = at + _BLOCK
+        if end < len(data):
+            cut = max(data.rfind(space, at + 1, end) for space in _WHITE)
+            if cut < 0:
+                found = _WHITE_SPACE.search(data, end)
+                cut = found.start() if found else len(data)
+                if data[at] in b"".join(_WHITE):
+                    cut = at + 1
+            end = cut
+        yield at, min(end, len(data))
+        at = end
+
+
+def weighted_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, 40-bit hash and weight of each term, by document and hash.
+
+    Works on blocks, of which only the different terms are held, so the memory a text takes beyond its own
+    bytes grows with its vocabulary.
+    """
+    data = b" ".join([t.lower() for t in texts])
+    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+    keys, weights = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at, end in _blocks(data):
+        start, hashes = _word_hashes(data[at:end])
+        owner = np.searchsorted(ends, start + at, side="right").astype(np.uint64)
+        key, weight = np.unique((owner << np.uint64(40)) | (hashes >> np.uint64(24)), return_counts=True)
+        keys.append(key)
+        weights.append(weight)
+    key, which = np.unique(np.concatenate(keys), return_inverse=True)
+    weight = np.zeros(len(key), np.int64)
+    np.add.at(weight, which, np.concatenate(weights))
+    return (key >> np.uint64(40)).astype(np.int64), key & np.uint64((1 << 40) - 1), weight
 
 
 def signatures(texts: list[bytes]) -> np.ndarray:

@@ -36,6 +36,57 @@ def test_signature_depends_on_the_text_alone(monkeypatch):
     assert (fp.signatures(texts) == together).all()
 
 
+def plain_signature(text):
+    """The formula of the module's head, term by term and sample by sample."""
+    table, best = fp._tables(), {}
+    for word, weight in Counter(text.lower().split()).items():
+        ((_,), (h,), _) = fp.weighted_terms([word.encode()])
+        low, mid, high = int(h) & 4095, int(h) >> 12 & 4095, int(h) >> 24
+        for k in range(fp.SAMPLES):
+            r = table["r1"][low, k] + table["r2"][mid, k]
+            b = table["b1"][low, k] + table["b2"][mid, k]
+            b -= np.floor(b)
+            t = np.floor(np.float32(np.log(np.float64(weight))) / r + b)
+            least = table["c"][high, k] - r * (t - b + 1)
+            best[k] = min(best.get(k, (np.inf, "", 0)), (float(least), word, int(t)))
+    return [best.get(k, (0, "", 0))[1:] for k in range(fp.SAMPLES)]
+
+
+def test_signatures_follow_the_formula():
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(draw.choice(words[: draw.choice([4, 60])]) for _ in range(draw.choice([1, 30, 300]))) for _ in range(12)]
+    got, plain = fp.signatures([t.encode() for t in texts]), [plain_signature(t) for t in texts]
+    agree = [
+        (got[i] == got[j]).tolist() == [a == b for a, b in zip(plain[i], plain[j])]
+        for i in range(12) for j in range(i)
+    ]
+    # Rounding of float32 may tip a sample whose two least values are next to each other.
+    assert sum(agree) >= len(agree) - 2
+
+
+def test_terms_do_not_depend_on_blocks(monkeypatch):
+    texts = [t.encode() for t in (PROSE, "", "a", "x " * 50, "é" * 40, "y" * 700 + " a", " " * 90, PROSE + "z" * 300)]
+    whole = fp.weighted_terms(texts)
+    monkeypatch.setattr(fp, "_LONG", 1 << 12)
+    assert all((a == b).all() for a, b in zip(whole, fp.weighted_terms(texts)))
+    monkeypatch.setattr(fp, "_LONG", 64)
+    long = fp.weighted_terms(texts)
+    for block in (64, 100, 333):
+        monkeypatch.setattr(fp, "_BLOCK", block)
+        fp._powers.cache_clear()
+        assert all((a == b).all() for a, b in zip(long, fp.weighted_terms(texts)))
+    fp._powers.cache_clear()
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096, 1 << 19])
+def test_doubling_patterns_differ(n):
+    a, b = ("".join(y if bin(i).count("1") % 2 else x for i in range(n)) for x, y in ("ab", "ba"))
+    one, other, both = fp.signatures([a.encode(), b.encode(), f"{a} {b}".encode()])
+    assert (one != other).any() and (one == other).mean() < 0.1
+    assert ((both == one) | (both == other)).all()
+
+
 @pytest.mark.parametrize("partitions", ["1", "3", "40"])
 def test_odd_rows(spark, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
