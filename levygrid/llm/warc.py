@@ -30,7 +30,7 @@ _EMPTY_FRAME = struct.pack("<II", 0x184D2A50, 0).decode("ascii")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD_ID = "urn:page:"
 
-#: The dictionary is trained on about this many records of at most ``SAMPLE_BYTES`` each.
+#: The dictionary is trained on about this many records, of each a block of ``SAMPLE_BYTES`` characters at most.
 SAMPLE_RECORDS = 512
 SAMPLE_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
@@ -98,12 +98,23 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 
 
 def _shared_dictionary(pages: DataFrame) -> bytes:
-    """Trained on the driver from a sample of bounded number and size, taken by hash."""
+    """Trained on the driver from a sample of bounded number and size, taken by hash.
+
+    Of a record longer than ``SAMPLE_BYTES`` one of its blocks is taken, by another hash, so that records
+    of any size take part and the sample's size stays bounded.
+    """
     rows = pages.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    at = F.pmod(F.xxhash64("html", "page_id"), F.lit(1 << 30)) / (1 << 30)
-    sample = pages.where((at < SAMPLE_RECORDS / max(1, rows)) & (F.octet_length("html") <= SAMPLE_BYTES))
+
+    def drawn(*columns: str):
+        return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / (1 << 30)
+
+    blocks = F.greatest(F.lit(1), F.ceil(F.length("html") / SAMPLE_BYTES))
+    place = (F.floor(drawn("page_id", "html") * blocks) * SAMPLE_BYTES + 1).cast("int")
+    sample = pages.where(drawn("html", "page_id") < SAMPLE_RECORDS / max(1, rows)).select(
+        "page_id", "url", F.col("html").substr(place, F.lit(SAMPLE_BYTES)).alias("block")
+    )
     return train_dictionary([
-        record(r["page_id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), None, False, "")
+        record(r["page_id"], r["url"], r["block"].encode("utf-8", "surrogatepass"), None, False, "")
         for r in sample.limit(2 * SAMPLE_RECORDS).collect()
     ])
 

@@ -72,6 +72,27 @@ def test_archives(spark, tmp_path):
     assert payloads == Counter({html or "" for _, _, html in PAGES})
 
 
+def test_dictionary_of_large_pages(spark, tmp_path, monkeypatch):
+    """Records above the sample's block size train the dictionary too, and archives shrink with it."""
+    def page(i):
+        body = " ".join(f"n{(i * 7919 + k * 31) % 100_003}" for k in range(9_000))
+        return f"<html><head><title>{i}</title></head><nav>Home About Contact</nav><p>{body}</p><footer>all rights kept</footer></html>"
+
+    rows = [(i, f"http://a/{i}", page(i)) for i in range(60)]
+    assert min(len(r[2]) for r in rows) > warc.SAMPLE_BYTES
+    sizes = []
+    for train in (warc.train_dictionary, lambda samples: b""):
+        monkeypatch.setattr(warc, "train_dictionary", train)
+        path = tmp_path / f"a{len(sizes)}"
+        warc.write_archives(frame(spark, rows).coalesce(1), str(path))
+        (file,) = path.glob("part-*")
+        data = file.read_bytes()
+        held = int.from_bytes(data[4:8], "little")
+        sizes.append((held, len(data) - held))
+        assert Counter(tuple(r) for r in warc.read_archives(spark, str(path)).collect()) == expected(rows)
+    assert sizes[0][0] > 1000 and sizes[1][0] == 0 and sizes[0][1] < sizes[1][1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.binary(max_size=400) | st.binary(max_size=3).map(lambda b: b * 90_000), max_size=6), st.booleans(), st.booleans())
 def test_frames_end_where_they_end(parts, checksum, sized):
