@@ -30,6 +30,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named by place, and the places of ``names``, so that no name can clash.
+
+    ``toDF(*df.columns)`` gives a result its names back.
+    """
+    columns = {c.lower(): f"c{i}" for i, c in reversed([*enumerate(df.columns)])}
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [columns[n.lower()] for n in names]
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; null has none."""
     parts = F.split(F.coalesce(text, F.lit("")), f"{SPACE_CLASS}++")

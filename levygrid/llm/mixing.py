@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from levygrid.llm.common import Scratch, fresh, words_of
+from levygrid.llm.common import fresh, numbered, Scratch, words_of
 from levygrid.operators.lookup import Dimension, lookup_join
 from levygrid.operators.numbering import number_rows
 
@@ -155,8 +155,11 @@ def mixture(
     """The mix itself: rows of ``df``, each as often as it is taken.
 
     A part of a document is a row whose text is its first words, joined by blanks. Documents
-    without words aren't taken. Columns of ``df`` must not start with two underscores.
+    without words aren't taken, and an empty table gives an empty one. Other columns of ``df`` stay as they are,
+    whatever their names.
     """
+    names = df.columns
+    df, (id_col, text_col, source_col) = numbered(df, id_col, text_col, source_col)
     out, size, taken = _taken(df, id_col, text_col, source_col, df.columns)
     copies = F.ceil(F.col("__taken") / F.col(size)).cast("int")
     words = F.least(F.col(size), F.col("__taken") - (F.col("__copy") - 1) * F.col(size))
@@ -165,5 +168,5 @@ def mixture(
     return (
         out.withColumn("__taken", taken).where(F.col("__taken") > 0)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
-        .withColumn("__words", words).withColumn(text_col, text).select(*df.columns)
+        .withColumn("__words", words).withColumn(text_col, text).select(*df.columns).toDF(*names)
     )

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from levygrid.llm.common import Scratch, fresh, let, words_of, SPACE_CLASS
+from levygrid.llm.common import fresh, let, numbered, Scratch, SPACE_CLASS, words_of
 from levygrid.operators.lookup import Dimension, lookup_join
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -212,6 +212,12 @@ def assess(
 def accepted(
     df: DataFrame, text_col: str = "text", host_col: str = "source", rules: Rules = Rules()
 ) -> DataFrame:
-    """Rows of ``df`` that neither the base rules nor their host's verdict reject."""
+    """Rows of ``df`` that neither the base rules nor their host's verdict reject.
+
+    Null and empty texts go, as they fail the base rule. Rows without a host are one host. Repeated rows
+    stay or go together, an empty table gives an empty one, and columns of ``df`` may have any names.
+    """
+    names = df.columns
+    df, (text_col, host_col) = numbered(df, text_col, host_col)
     judged, new = _judged(df, text_col, host_col, rules, df.columns)
-    return judged.where(F.col(new["kept"])).select(*df.columns)
+    return judged.where(F.col(new["kept"])).select(*df.columns).toDF(*names)

@@ -3,6 +3,7 @@ import os
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from levygrid.llm import mixing, oracles, queries
 from tests.compare import connect, difference
@@ -63,6 +64,17 @@ def test_mixture(spark):
     assert all(LONG.startswith(r["text"]) for r in got.collect() if r["doc_id"] == 7)
 
 
+def test_clashing_names(spark):
+    names = ["__target", "__key", "__taken", "__copy", "c0", "size", "__row", "n", "weight", "bin", "__whole"]
+    frame = documents(spark).select("doc_id", "text", "source", *[F.lit("x").alias(n) for n in names])
+    got = mixing.mixture(frame)
+    assert got.columns == frame.columns
+    plain = rows_of(mixing.mixture(documents(spark)), "doc_id", "text", "source")
+    assert rows_of(got, "doc_id", "text", "source") == plain
+    assert {r["__target"] for r in got.collect()} == {"x"}
+    assert mixing.mixture(frame.limit(0)).count() == 0
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_sql(spark):
     got = queries.op9_source_mixing(spark, FOLDER)

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from levygrid.llm import oracles, quality, queries
 from tests.compare import connect, difference
@@ -50,6 +51,15 @@ def test_odd_rows(spark):
     assert quality.assess(documents(spark, [])).count() == quality.accepted(documents(spark, [])).count() == 0
 
 
+def test_clashing_names(spark):
+    names = ["__enforced", "__host", "__blocked", "__m", "c1", "base", "n_words", "kept", "__row"]
+    frame = documents(spark).select("doc_id", "text", "source", *[F.lit("x").alias(n) for n in names])
+    got = quality.accepted(frame)
+    assert got.columns == frame.columns
+    assert rows_of(got, "doc_id", "source") == rows_of(quality.accepted(documents(spark)), "doc_id", "source")
+    assert {r["__enforced"] for r in got.collect()} == {"x"}
+
+
 def test_hosts(spark):
     """A bad host is blocked, a rule is enforced where it fails often, chance is forgiven."""
     def text(i, junk=False):
