@@ -13,6 +13,7 @@ from levygrid.operators import codes, dimensions as D, errors, items, records, r
 from levygrid.operators import rows as row_ops
 from levygrid.operators.lookup import lookup_join
 from levygrid.operators.stages import scratch_path
+from levygrid.plans import folder_run
 from levygrid.plans.folder_run import run_folder
 from levygrid.plans.pipeline import Run
 from levygrid.session import tuned
@@ -555,6 +556,45 @@ def write_items(spark, folder):
     return files.read_csv(spark, path, ", ".join(f"`{c}` string" for c in C.ITEM_COLUMNS))
 
 
+@query
+def matrix_order(spark, folder):
+    """The matrix as one ordered file: places of the originals in it; replicated records follow."""
+    run = Run(
+        tables.rows(spark, folder), tables.dimensions(spark, folder, CONFIG), CONFIG, keep="records", ordered=True
+    )
+    path = scratch_path(spark, "matrix_update.csv")
+    folder_run.write_matrix(run, path, one_header=True)
+    read = files.read_joined(spark, path, _matrix_schema())
+    originals = run.coded_parts()[0].count()
+    place = F.when(F.col("position") <= originals, F.col("position"))
+    return read.withColumn("position", place)
+
+
+@query
+def item_order(spark, folder):
+    """The item file as one ordered file: every row with its place."""
+    path = scratch_path(spark, "product_item_update.csv")
+    files.write_csv(_run(spark, folder).items(), path, [F.col("item")], one_header=True)
+    return files.read_joined(spark, path, ", ".join(f"`{c}` string" for c in C.ITEM_COLUMNS))
+
+
+@query
+def error_document(spark, folder):
+    """The error document's entries and ids by line, read back from its ordered parts."""
+    run = _run(spark, folder, keep="all")
+    path = scratch_path(spark, "errors_document.json")
+    files.write_error_document(run.error_parts, run.unmapped_ids, F.lit("2024-01-01").cast("timestamp"), path)
+    text = F.regexp_replace(F.regexp_replace("value", "^,", ""), r',"research_ids":\[$', "}")
+    entry = F.from_json(text, "error_type string, file_name string, error_message string, impact string")
+    lines = spark.read.text(path).withColumn("entry", entry)
+    found = lines.where(F.col("entry.error_type").isNotNull()).select("entry.*", F.lit(None).cast("string").alias("research_id"))
+    ids = lines.where(F.col("value").rlike('^,?"')).select(
+        *[F.lit(None).cast("string").alias(c) for c in found.columns[:4]],
+        F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")[0].alias("research_id"),
+    )
+    return found.unionByName(ids)
+
+
 @query
 def write_errors(spark, folder):
     run = _run(spark, folder, keep="all")

@@ -131,6 +131,12 @@ _CTES = {
                '01' AS "transaction", taxable, tax_type, tax_cat, '1999-01-01' AS effective,
                '01' AS per_taxable_type, percent_taxable
         FROM typed""",
+    "placed_rec": """
+        SELECT t.geocode, '' AS tax_auth_id, '7777' AS "group", item_code AS item, customer, '99' AS provider,
+               '01' AS "transaction", taxable, tax_type, tax_cat, '1999-01-01' AS effective,
+               '01' AS per_taxable_type, percent_taxable, file_idx, d.geo_idx, ord, side
+        FROM typed t JOIN code_dim ON research_key = __norm(t.item)
+        LEFT JOIN city_dim d ON d.geocode = t.geocode""",
     "city_rec": "SELECT * FROM rec WHERE geocode NOT LIKE '%00000000'",
     "copied": """
         SELECT c.geocode, s.* EXCLUDE (geocode)
@@ -493,5 +499,17 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT '{C.ERR_UNMAPPED}', NULL, NULL, NULL, research_id FROM no_code""",
         "folder_matrix": f"SELECT {_MATRIX} FROM coded_rec",
+        "matrix_order": f"""SELECT {_MATRIX}, row_number() OVER (
+                ORDER BY file_idx, geo_idx, ord, side, tax_type) AS position FROM placed_rec
+            UNION ALL
+            SELECT {_MATRIX.replace(" item,", " item_code AS item,")}, NULL FROM copied
+            JOIN code_dim ON research_key = __norm(item)""",
+        "item_order": """SELECT "group", item, description, row_number() OVER (ORDER BY item) AS position
+            FROM kept_items""",
+        "error_document": f"""SELECT *, CASE WHEN error_type = '{C.ERR_UNMAPPED}'
+                THEN '{C.UNMAPPED_IMPACT.replace("'", "''")}' END AS impact,
+                CAST(NULL AS VARCHAR) AS research_id FROM error_rows
+            UNION ALL
+            SELECT NULL, NULL, NULL, NULL, research_id FROM no_code""",
     }
     return {name: _with(sql) for name, sql in finals.items()}
