@@ -152,6 +152,17 @@ def dim_state_geocode(spark, folder):
     return D.state_geocodes(tables.geo(spark, folder))
 
 
+@query
+def dim_state_names(spark, folder):
+    """Files named after the built-in state names, found by their postal codes."""
+    files, geo = tables.files_of_states(spark, folder)
+    found = D.state_locations(D.state_names(spark), D.state_geocodes(geo))
+    return (
+        row_ops.with_jurisdiction(files).join(F.broadcast(found), "jurisdiction", "left")
+        .groupBy("jurisdiction", "geocode").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 @query
 def dim_city_geocodes(spark, folder):
     return D.city_geocodes(tables.geo(spark, folder))

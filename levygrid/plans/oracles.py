@@ -314,6 +314,11 @@ def _quoted(*columns: str) -> str:
     return " || ',' || ".join(f"'\"' || replace({c}, '\"', '\"\"') || '\"'" for c in columns)
 
 
+def _state_names() -> str:
+    """Places and names of the states, and of one that is none, as SQL rows."""
+    return ", ".join(f"({i}, '{name}')" for i, name in enumerate([*C.US_STATES, "NOWHERE"]))
+
+
 def oracle_sql() -> dict[str, str]:
     finals = {
         # Sources and headers
@@ -349,6 +354,12 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY f.file_idx, logical_name""",
         # Dimensions
         "dim_state_geocode": "SELECT state, geocode FROM state_dim",
+        "dim_state_names": f"""SELECT upper(name) AS jurisdiction,
+                CASE WHEN place < {len(C.US_STATES)}
+                    THEN 'US' || lpad(CAST(place + 1 AS VARCHAR), 2, '0') || '00000000' END AS geocode,
+                count(*) AS n
+            FROM supplier JOIN (VALUES {_state_names()}) AS names(place, name)
+                ON s_suppkey % {len(C.US_STATES) + 1} = place GROUP BY place, name""",
         "dim_city_geocodes": "SELECT city, geocode, geo_idx FROM city_dim",
         "dim_tax_cat": "SELECT tax_cat_desc, tax_cat FROM tax_cat_dim",
         "dim_tax_types": """SELECT geocode, tax_cat,

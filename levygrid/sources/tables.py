@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from levygrid import constants as C
 from levygrid.config import MatrixConfig
 from levygrid.operators.dimensions import Dimensions
 from levygrid.operators.numbering import number_rows
@@ -103,6 +104,21 @@ def state_names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def files_of_states(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """A file per supplier, named after a state or, one in 52, after none; and states' geocodes by code."""
+    names = [*C.US_STATES, "Nowhere"]
+    place = F.col("s_suppkey") % len(names)
+    files = table(spark, folder, "supplier")
+    return (
+        files.select(F.concat(F.initcap(_pick(names, place)), F.lit(" Sales Tax Research")).alias("file_name")),
+        files.where(place < len(C.US_STATES)).select(
+            F.col("s_suppkey").alias("ordinal"),
+            F.concat(F.lit("US"), F.lpad((place + 1).cast("string"), 2, "0"), F.lit("00000000")).alias("geocode"),
+            _pick(list(C.US_STATES.values()), place).alias("state"),
+        ),
+    )
+
+
 def tax_cats(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("n_nationkey")
     return (

@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 # The composite ones and the cheap ones; LEVYGRID_ALL_QUERIES=1 runs every query.
 DEFAULT = [
-    "sheet_scan", "sheet_scan_line_breaks", "sheet_account", "header_mapping", "format_percent", "output_folder_name", "resolve_geocodes",
+    "sheet_scan", "sheet_scan_line_breaks", "sheet_account", "header_mapping", "dim_state_names", "format_percent", "output_folder_name", "resolve_geocodes",
     "errors_report", "run_summary", "product_items", "matrix_update", "product_item_update", "matrix_order",
 ]
 NAMES = sorted(catalog.queries()) if os.environ.get("LEVYGRID_ALL_QUERIES") else DEFAULT
