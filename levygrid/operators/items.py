@@ -53,31 +53,35 @@ def hierarchical(ids: DataFrame, texts: DataFrame, config: MatrixConfig) -> Data
     """Add ``description`` to distinct (file, id) keys: ancestors' texts, then the own one.
 
     A missing or blank text counts as one space. The own text is met one to one, by file
-    and id. Ancestors are looked up apart: the ids below them, which are many, need
-    only the texts of the few distinct ancestors, and only that small table is broadcast or
-    salted. At most seven texts for an id are put together again in id order.
+    and id. Ancestors' texts are put together once per file and list of ancestors, which all
+    ids below the same one share: few rows, and only this small table is broadcast or salted.
     """
     carried = [c for c in ids.columns if c not in KEY]
 
     def shown(text: Column) -> Column:
         return F.when(F.coalesce(text, F.lit("")) == "", F.lit(" ")).otherwise(text)
 
-    steps = ids.select(*KEY, F.posexplode(ancestor_ids(F.col("item"))).alias("pos", "step"))
+    ids = ids.withColumn("chain", ancestor_ids(F.col("item")))
+    chains = durable(ids.where(F.size("chain") > 0).select("file_idx", "chain").distinct())
+    steps = chains.select("file_idx", "chain", F.posexplode("chain").alias("pos", "step"))
     needed = steps.select("file_idx", F.col("step").alias("item")).distinct()
     above = texts.join(needed, KEY, "left_semi").select(
         F.col("file_idx").alias("f"), F.col("item").alias("i"), F.col("own_text").alias("text")
     )
     lookup = Dimension(above, ["f", "i"], config.broadcast_bytes, config.salts)
     found = lookup_join(
-        steps, lookup, {"f": F.col("file_idx"), "i": F.col("step")}, "left", ["item"]
+        steps, lookup, {"f": F.col("file_idx"), "i": F.col("step")}, "left", ["chain"]
     )
     parts = F.array_sort(F.collect_list(F.struct("pos", shown(F.col("text")).alias("text"))))
-    upper = found.groupBy(*KEY).agg(parts.alias("parts"))
+    upper = found.groupBy(F.col("file_idx").alias("f"), F.col("chain").alias("c")).agg(parts["text"].alias("upper"))
+    uppers = Dimension(upper, ["f", "c"], config.broadcast_bytes, config.salts)
     full = F.concat(
-        F.coalesce(F.col("parts.text"), F.array().cast("array<string>")), F.array(shown(F.col("own_text")))
+        F.coalesce(F.col("upper"), F.array().cast("array<string>")), F.array(shown(F.col("own_text")))
     )
     return (
-        ids.join(texts, KEY, "left").join(upper, KEY, "left")
+        lookup_join(
+            ids.join(texts, KEY, "left"), uppers, {"f": F.col("file_idx"), "c": F.col("chain")}, "left", ["item"]
+        )
         .select(*KEY, *carried, ws(F.array_join(full, " | ")).alias("description"))
     )
 

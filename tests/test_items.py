@@ -88,3 +88,21 @@ def test_codes_ignore_trailing_zeros_and_last_mapping_wins(spark):
     assert counted(codes.unmapped_ids(df, df, codes=dims.product_codes), "research_id") == {
         ("9.9",): 1, ("1.1",): 1,
     }
+
+
+def test_ancestors_are_looked_up_once_for_all_ids_below_them(spark, monkeypatch):
+    """Forty ids under one list of four ancestors need four texts, not 160."""
+    looked_up, join = [], items.lookup_join
+
+    def counting(facts, *rest):
+        if "step" in facts.columns:
+            looked_up.append(facts.count())
+        return join(facts, *rest)
+
+    monkeypatch.setattr(items, "lookup_join", counting)
+    rows = [row("1.1.1.0.0.0.0.0", admin="", description="Cloud")]
+    rows += [row(f"1.1.1.1.{i}.0.0.0", description=f"own {i}") for i in range(1, 41)]
+    assert described(spark, rows) == {
+        (f"1.1.1.1.{i}.0.0.0", f"|   | Cloud |   | own {i}", 1) for i in range(1, 41)
+    }
+    assert looked_up == [4]
