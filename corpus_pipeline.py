@@ -9,12 +9,22 @@ from levygrid.llm.queries import vocabulary
 from levygrid.operators.stages import discard, scratch_path
 
 
+#: Rows of a batch that goes to a Python worker; Spark's default of 10,000 texts takes tens of MB on either side.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """The caller executes a stage's result, so the setting has to stay."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a determined language; the model is fitted on labelled documents.
 
     Null, empty and letterless texts go, as they have no language. Repeated rows stay, each
     judged alike, whatever their id. An empty table, or one without labels, gives no rows.
     """
+    _small_batches(spark)
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
     return langid.confident(docs, model)
 
@@ -34,6 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are one class. Of repeated rows one stays, and a row without id
     only if its class has no row with one. An empty table gives no rows.
     """
+    _small_batches(spark)
     return simhash.deduplicated(docs)
 
 
@@ -53,6 +64,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are an end-of-document id; null ids stay null, repeated rows are
     packed each. An empty table gives no rows.
     """
+    _small_batches(spark)
     return packing.pack(docs, vocabulary())
 
 

@@ -57,3 +57,12 @@ def test_against_a_plain_run(spark, tmp_path):
         fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
     assert max(fill.values()) <= 1024 and sum(fill.values()) / (1024 * len(fill)) > 0.9
     assert len(ROWS) > 0
+
+
+def test_stages_send_small_batches_to_python(spark):
+    """Texts go to workers by the thousand, as batches of Spark's default size fill an executor."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
+    for stage in (corpus_pipeline.near_dedup, corpus_pipeline.pack):
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        stage(spark, docs, "")
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
