@@ -87,6 +87,9 @@ def links(prints: DataFrame, fp: str = "fp", bucket: int = BUCKET) -> DataFrame:
     common neighbours at one bit. At most 65 fingerprints share such a neighbour, all
     of them within two bits of each other; each is linked to the least. Fingerprints that
     differ in two or fewer bits have a common neighbour, so no component is torn.
+
+    Probes meet buckets in a sort-merge join, which is asked for: Spark sizes rows behind an
+    explode like those before it, and would broadcast many times what it takes them for.
     """
     low = (1 << _SEGMENT_BITS) - 1
     high = F.shiftrightunsigned(F.col(fp), _SEGMENT_BITS)
@@ -107,7 +110,7 @@ def links(prints: DataFrame, fp: str = "fp", bucket: int = BUCKET) -> DataFrame:
         "segment", F.col("part").alias("own"), "rest",
         F.explode(_ball(F.col("part"), upward=True)).alias("part"),
     )
-    hits = probes.join(small.unionByName(large), key)
+    hits = probes.hint("merge").join(small.unionByName(large), key)
     me = _whole(F.col("segment"), F.col("own"), F.col("rest"))
 
     fetched = hits.where(F.col("members").isNotNull()).select(

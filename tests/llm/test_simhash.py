@@ -2,6 +2,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from levygrid.llm import simhash
 from levygrid.llm.common import Scratch
@@ -61,6 +62,14 @@ def test_links_and_components(spark, bucket):
     assert {v: roots.get(v, v) for v in values} == expected
 
 
+def test_probes_are_not_broadcast(spark):
+    """A ball has 33 values; Spark takes the exploded rows for as few as the fingerprints."""
+    prints = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    inner = [line for line in plan.splitlines() if "Join" in line and " Inner" in line]
+    assert inner and all("SortMergeJoin" in line for line in inner)
+
+
 def test_odd_rows(spark):
     got = rows_of(simhash.near_duplicates(documents(spark)), "doc_id", "fingerprint", "component_id")
     assert len(got) == len(ROWS)
