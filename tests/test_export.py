@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from levygrid.config import MatrixConfig
+from levygrid.operators.stages import ensure_checkpoint_dir
 from levygrid.sources import tables
 
 
@@ -52,3 +53,11 @@ def test_rows_in_order_below_the_header(spark, star, monkeypatch, line_breaks):
         assert broken == ([6, 9] if line_breaks else [])
         if line_breaks:
             assert rows[5][3] == '\n"' + ids[1] + '",'
+
+
+def test_nothing_but_the_sheets_stays(spark, star):
+    """The table that rows are numbered on goes with the export."""
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    tables.export_sheets(spark, star, f"{star}/out", MatrixConfig(), line_breaks=True)
+    assert set(folder.iterdir()) == before
