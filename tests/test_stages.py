@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from levygrid.operators.stages import durable, measured
+from levygrid.sinks import files
 
 
 def shuffle_files(spark):
@@ -13,8 +14,12 @@ def shuffle_files(spark):
     return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle")}
 
 
+def written_csv(df, path):
+    files.write_csv(df, path, [F.col("k")], one_header=True)
+
+
 @pytest.mark.parametrize("write", [
-    lambda df, path: durable(df), lambda df, path: measured(df, n=F.count("*")),
+    lambda df, path: durable(df), lambda df, path: measured(df, n=F.count("*")), written_csv,
 ])
 def test_shuffle_files_go_with_the_write(spark, tmp_path, write):
     """Spark deletes them on its own time, so they are waited for."""
