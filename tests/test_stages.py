@@ -18,8 +18,13 @@ def written_csv(df, path):
     files.write_csv(df, path, [F.col("k")], one_header=True)
 
 
+def written_errors(df, path):
+    part = df.select(F.lit("a").alias("error_type"), F.lit("b").alias("file_name"), F.lit("c").alias("error_message"))
+    files.write_errors([part.distinct()], df.select(F.col("k").cast("string").alias("research_id")), path)
+
+
 @pytest.mark.parametrize("write", [
-    lambda df, path: durable(df), lambda df, path: measured(df, n=F.count("*")), written_csv,
+    lambda df, path: durable(df), lambda df, path: measured(df, n=F.count("*")), written_csv, written_errors,
 ])
 def test_shuffle_files_go_with_the_write(spark, tmp_path, write):
     """Spark deletes them on its own time, so they are waited for."""
